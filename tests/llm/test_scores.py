@@ -1,0 +1,122 @@
+"""Quality and toxicity: features against plain counting, exact inference, held-out accuracy."""
+
+import itertools
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.llm import crf, gam, quality, toxicity
+from tideline.llm.common import labelled_by_crc
+
+SF = "/root/testdata/sf0.1"
+
+
+def area(y, s):
+    order = np.argsort(s, kind="stable")
+    rank = np.empty(len(s))
+    rank[order] = np.arange(len(s))
+    n = y.sum()
+    return (rank[y == 1].sum() - n * (n - 1) / 2) / (n * (len(y) - n))
+
+
+def test_features_by_hand():
+    text = "AA bb bb\nAA bb bb\n!!| cc1 é$$"
+    f = dict(zip(quality.FEATURES, quality.features(pa.array([text, "", "  "]))[0]))
+    size = len(text.encode())
+    assert f["log_bytes"] == pytest.approx(math.log1p(size))
+    assert f["log_words"] == pytest.approx(math.log1p(9))
+    assert f["upper_share"] == pytest.approx(4 / size)
+    assert f["bang_share"] == pytest.approx(2 / size)
+    assert f["newline_share"] == pytest.approx(2 / size)
+    assert f["wide_share"] == pytest.approx(2 / size)
+    assert f["distinct_words"] == pytest.approx(5 / 9)
+    assert f["echoed_words"] == pytest.approx(2 / 9)
+    assert f["repeated_lines"] == pytest.approx(1 / 3)
+    assert f["shouted_words"] == pytest.approx(2 / 9)
+    assert f["marked_words"] == pytest.approx(1 / 9)
+    assert quality.features(pa.array([], pa.string())).shape == (0, len(quality.FEATURES))
+
+
+def test_features_do_not_depend_on_neighbours():
+    texts = ["one two", "", "A!! B!!\nx", " lead", "é" * 40, "a\n\nb\n"]
+    alone = np.vstack([quality.features(pa.array([t])) for t in texts])
+    assert np.allclose(alone, quality.features(pa.array(texts)))
+
+
+def test_gam_learns_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 3))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    model = gam.fit(x[:3000], y[:3000])
+    assert area(y[3000:], model.probability(x[3000:])) > 0.95
+    assert (1, 0) in model.pairs or (0, 1) in model.pairs
+    none = gam.fit(np.zeros((0, 3)), np.zeros(0))
+    assert none.probability(np.ones((2, 3))).tolist() == [0.5, 0.5]
+
+
+def test_marginals_match_enumeration():
+    rng = np.random.default_rng(1)
+    chain = crf.Chain(-0.5, -1.0, 0.3, 0.8)
+    emission = rng.normal(size=9)
+    starts, lengths = np.array([0, 5]), np.array([5, 4])
+    odds, _, _ = crf.forward_backward(emission, starts, lengths, chain)
+    for s, n in zip(starts, lengths):
+        total, on = 0.0, np.zeros(n)
+        for path in itertools.product((0, 1), repeat=int(n)):
+            w = chain.start * path[0] + sum(emission[s + t] * path[t] for t in range(n))
+            w += sum({(0, 1): chain.t01, (1, 0): chain.t10, (1, 1): chain.t11}.get(p, 0) for p in itertools.pairwise(path))
+            total += math.exp(w)
+            on += math.exp(w) * np.array(path)
+        assert np.allclose(1 / (1 + np.exp(-odds[s : s + n])), on / total)
+
+
+def test_windows():
+    starts, lengths = crf.windows(np.array([0, 3, 300, 128]))
+    assert starts.tolist() == [0, 3, 131, 259, 303] and lengths.tolist() == [3, 128, 128, 44, 128]
+
+
+EDGE = [(1, None), (2, ""), (3, "You idiot! clean words"), (3, "You idiot! clean words"), (None, "plain"), (5, "good text " * 9000)]
+
+
+def test_edges(spark):
+    docs = spark.createDataFrame(EDGE, "doc_id long, text string").selectExpr("*", "'x' AS toxic", "9 AS quality_score")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    q = quality.score_quality(docs, quality.fit_quality(docs, labels)).collect()
+    assert len(q) == len(EDGE) and {r["quality_score"] for r in q} == {0.5}
+    model = toxicity.train(["you idiot now"] * 40 + ["you say all is fine now"] * 200, np.array([1.0] * 40 + [0.0] * 200))
+    scored = toxicity.score_toxicity(docs, model)
+    t = {(r["doc_id"], r["text"]): r for r in scored.collect()}
+    bad = t[(3, "You idiot! clean words")]
+    assert bad["toxic"] and "idiot" in {bad["text"][s["start"] : s["end"]].lower().split()[-1] for s in bad["toxic_spans"]}
+    assert not t[(1, None)]["toxic"] and not t[(2, "")]["toxic"] and t[(2, "")]["toxic_spans"] == []
+    assert scored.count() == len(EDGE)
+    assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+    assert toxicity.fit_toxicity(docs, labels).weights == {}
+
+
+def held_out(spark, scored, label, modulus, remainder):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = scored.join(labels, "doc_id").filter(labelled_by_crc(F.col("doc_id"), modulus, remainder)).select(label, "s").toPandas()
+    return area(rows[label].to_numpy(), rows["s"].to_numpy()), rows
+
+
+def test_quality_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit_quality(docs, labels, ~labelled_by_crc(F.col("doc_id"), 5, 0))
+    scored = quality.score_quality(docs, model).select("doc_id", F.col("quality_score").alias("s"))
+    found, rows = held_out(spark, scored, "quality", 5, 0)
+    assert found > 0.98
+    assert ((rows.s >= 0.3) == rows.quality).mean() > 0.97
+
+
+def test_toxicity_held_out(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.fit_toxicity(docs, labels, ~labelled_by_crc(F.col("doc_id"), 4, 2))
+    scored = toxicity.score_toxicity(docs, model).select("doc_id", F.col("toxicity_score").alias("s"))
+    found, rows = held_out(spark, scored, "toxic", 4, 2)
+    assert found > 0.9
+    said = rows.s >= 0.3
+    assert (rows.toxic[said]).mean() > 0.85 and said[rows.toxic == 1].mean() > 0.75

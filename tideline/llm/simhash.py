@@ -5,20 +5,28 @@ once. *Links* are found over distinct fingerprints only:
 
 * Upper nodes. Fingerprints within ``d`` bits agree on at least one of ``d + 1``
   blocks of bits, so each fingerprint enters ``d + 1`` upper nodes, one for each
-  block, whose masked pattern (block mask, bits) all its members share. A node
-  with too many members is split again over its free bits in the same way; the
-  shared masks accumulate until a node is small or has so few free bits left
-  that it cannot be large (at most ``2 ** MIN_FREE_BITS`` members).
+  block, whose masked pattern (block mask, bits) all its members share. A very large
+  node is split again over its free bits in the same way, so shared masks accumulate. A
+  node that is still too large for a task is cut into parts, and each two parts meet in
+  a task of their own.
 * Inside a node, members are sorted by Gray rank, so neighbours differ in few
   bits; runs of the sorted order become leaf groups with the AND and OR of their
-  members. A query adds up the bits on which it differs from a group's shared
-  pattern and skips the whole group beyond ``d``; survivors are compared exactly.
+  members, and runs of leaves the next level. A query adds up the bits on which it differs
+  from a group's shared pattern and skips the whole group beyond ``d``; survivors are
+  compared exactly.
 * A node emits a spanning forest of its links, never all pairs. Components are
   then joined across nodes with star contraction.
+
+Two operators use the index. :func:`near_duplicates` links 64-bit fingerprints of word shingles.
+:func:`similar_documents` is for similarity thresholds such as 0.8 on five-word shingles, at which
+64 bits of shingles differ in about ten places: there the index is over the fingerprint of the
+distinct words, which moves far less, and a link also needs the 256-bit fingerprint of the distinct
+shingles to be as close as the threshold asks.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,14 +36,22 @@ from pyspark.sql import functions as F
 
 from .common import drop, materialise, text_or_empty, without
 from .components import components
-from .shingles import FOLD_AZ, batches_by_bytes, clean_words, majority_bits, shingle_hashes
+from .shingles import FOLD_AZ, P1, P2, P3, P5, batches_by_bytes, clean_words, majority_bits, shingle_hashes
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
+#: Rows of a node that one task links; of a part of a larger node; from which a node is split by more bits.
 NODE_ROWS = 4096
-MIN_FREE_BITS = 12
+PART_ROWS = 2048
+SPLIT_ROWS = 131_072
+MAX_DEPTH = 6
 LEAF = 32
-ROUTE = "__tl_path string, __tl_fp long, __tl_mask long"
+LANES = 4
+WORD_DISTANCE = 7
+#: Standard deviations of the wide fingerprint's estimate that a link may fall short by.
+SLACK = 1.0
+ITEM = "__tl_fp long, __tl_v long, __tl_wide binary"
+ROUTE = f"__tl_path string, __tl_mask long, {ITEM}"
 
 
 # ---------------------------------------------------------------- fingerprints
@@ -74,7 +90,7 @@ def _block_masks(mask: int, parts: int) -> list[int]:
 
 
 def _expand(distance: int):
-    """Route each (path, fp, free-bit mask) to its child nodes, one per block of free bits."""
+    """Route each item to its child nodes, one per block of the bits its node leaves free."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[int, list[int]] = {}
@@ -84,15 +100,17 @@ def _expand(distance: int):
             path = np.array(batch.column("__tl_path").to_pylist(), dtype=object)
             for free in np.unique(mask):
                 rows = np.flatnonzero(mask == free)
+                own = batch.take(pa.array(rows))
                 blocks = cache.setdefault(int(free), _block_masks(int(free), distance + 1))
                 for k, block in enumerate(blocks):
                     shared = fp[rows] & np.uint64(block)
                     paths = [f"{p}/{k}:{s:x}" for p, s in zip(path[rows], shared.tolist())]
                     left = np.full(len(rows), int(free) & ~block & (2**64 - 1), dtype=np.uint64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(paths, pa.string()), pa.array(fp[rows].view(np.int64)), pa.array(left.view(np.int64))],
-                        ["__tl_path", "__tl_fp", "__tl_mask"],
-                    )
+                        [pa.array(paths, pa.string()), pa.array(left.view(np.int64)),
+                         own.column("__tl_fp"), own.column("__tl_v"), own.column("__tl_wide")],
+                        ["__tl_path", "__tl_mask", "__tl_fp", "__tl_v", "__tl_wide"],
+                    )
 
     return stage
 
@@ -105,41 +123,53 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return rank
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, i: int) -> int:
-        parent = self.parent
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.find(i), self.find(j)
-        if i == j:
-            return False
-        self.parent[max(i, j)] = min(i, j)
-        return True
+def link_node(
+    fps: np.ndarray, distance: int = MAX_DISTANCE, wide: np.ndarray | None = None, wide_distance: int = 0
+) -> list[tuple[int, int]]:
+    """A spanning forest of the links among the members of one node, as index pairs.
 
-
-def link_node(fps: np.ndarray, distance: int = MAX_DISTANCE) -> list[tuple[int, int]]:
-    """A spanning forest of the links among distinct fingerprints of one node (index pairs)."""
+    Members link at ``distance`` or fewer differing bits and, if ``wide`` (members x lanes) is
+    given, ``wide_distance`` or fewer differing bits there.
+    """
     n = len(fps)
     if n < 2:
         return []
     order = np.argsort(gray_rank(fps), kind="stable")
     codes = fps[order]
-    forest, out = _Forest(n), []
+    lanes = None if wide is None else wide[order]
+    label = np.arange(n)
+    out: list[tuple[int, int]] = []
 
     def take(i: np.ndarray, j: np.ndarray) -> None:
-        for a, b in zip(i.tolist(), j.tolist()):
-            if forest.join(a, b):
-                out.append((int(order[a]), int(order[b])))
+        """Add what joins two trees; pairs inside one tree are dropped before any other test."""
+        nonlocal label
+        fresh = label[i] != label[j]
+        i, j = i[fresh], j[fresh]
+        if lanes is not None and len(i):
+            near = np.bitwise_count(lanes[i] ^ lanes[j]).sum(axis=1) <= wide_distance
+            i, j = i[near], j[near]
+        if not len(i):
+            return
+        low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+        _, one = np.unique(low * n + high, return_index=True)
+        parent = label.copy()
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for at in one.tolist():
+            a, b = root(low[at]), root(high[at])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((int(order[i[at]]), int(order[j[at]])))
+        while (flat := parent[parent]).tolist() != parent.tolist():
+            parent = flat
+        label = parent
 
     near = np.flatnonzero(np.bitwise_count(codes[1:] ^ codes[:-1]) <= distance)
-    take(near, near + 1)  # Gray neighbours first: the forest is mostly built here
+    take(near, near + 1)  # Gray neighbours first: much of the forest is made here
     heads = np.arange(0, n, LEAF)
     all_of, any_of = np.bitwise_and.reduceat(codes, heads), np.bitwise_or.reduceat(codes, heads)
     shared = ~(all_of ^ any_of)
@@ -148,75 +178,97 @@ def link_node(fps: np.ndarray, distance: int = MAX_DISTANCE) -> list[tuple[int,
     up_shared = ~(up_and ^ up_or)
     for at in heads.tolist():
         query = codes[at : at + LEAF]
-        group = at // LEAF
         # Differences accumulate downwards: a group's shared bits contain its parent's.
         reach = (np.bitwise_count((query[:, None] ^ up_and) & up_shared) <= distance).any(axis=0)
         leaves = (upper[reach][:, None] + np.arange(LEAF)).ravel()
-        leaves = leaves[(leaves < len(heads)) & (leaves >= group)]
+        leaves = leaves[(leaves < len(heads)) & (leaves >= at // LEAF)]
         hit = (np.bitwise_count((query[:, None] ^ all_of[leaves]) & shared[leaves]) <= distance).any(axis=0)
-        for leaf in leaves[hit].tolist():
-            low = leaf * LEAF
-            i, j = np.nonzero(np.bitwise_count(query[:, None] ^ codes[low : low + LEAF]) <= distance)
-            keep = i + at < j + low
-            take(i[keep] + at, j[keep] + low)
+        leaves = leaves[hit]
+        if not len(leaves):
+            continue
+        rows = (heads[leaves][:, None] + np.arange(LEAF)).ravel()
+        rows = rows[rows < n]
+        i, k = np.nonzero(np.bitwise_count(query[:, None] ^ codes[rows]) <= distance)
+        i, j = i + at, rows[k]
+        keep = i < j
+        take(i[keep], j[keep])
     return out
 
 
-def _link_nodes(distance: int):
-    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) fingerprints."""
+def _link_nodes(distance: int, wide_distance: int):
+    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) of linked items."""
 
-    def emit(fps: np.ndarray) -> pa.RecordBatch | None:
-        pairs = link_node(fps, distance)
+    def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        node = pa.Table.from_batches(parts).combine_chunks()
+        wide = None
+        if wide_distance:
+            raw = b"".join(node.column("__tl_wide").to_pylist())
+            wide = np.frombuffer(raw, dtype=np.uint64).reshape(node.num_rows, -1)
+        pairs = link_node(node.column("__tl_fp").to_numpy().view(np.uint64), distance, wide, wide_distance)
         if not pairs:
             return None
         i, j = np.array(pairs).T
-        return pa.RecordBatch.from_arrays(
-            [pa.array(fps[i].view(np.int64)), pa.array(fps[j].view(np.int64))], ["u", "v"]
-        )
+        ids = node.column("__tl_v").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["u", "v"])
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_path, parts = None, []
         for batch in batches:
-            fp = batch.column("__tl_fp").to_numpy().view(np.uint64)
             runs = batch.column("__tl_path").to_pylist()
             cuts = [0, *[i for i in range(1, len(runs)) if runs[i] != runs[i - 1]], len(runs)]
             for a, z in zip(cuts, cuts[1:]):
                 if a == z:
                     continue
                 if runs[a] != open_path:
-                    if parts and (done := emit(np.concatenate(parts))) is not None:
+                    if parts and (done := emit(parts)) is not None:
                         yield done
                     open_path, parts = runs[a], []
-                parts.append(fp[a:z])
-        if parts and (done := emit(np.concatenate(parts))) is not None:
+                parts.append(batch.slice(a, z - a))
+        if parts and (done := emit(parts)) is not None:
             yield done
 
     return stage
 
 
-def links(distinct_fps: DataFrame, distance: int = MAX_DISTANCE, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Spanning links ``(u, v)`` of ``distinct_fps(fp)`` at ``distance`` or fewer differing bits."""
-    every = distinct_fps.select(
-        F.lit("").alias("__tl_path"), F.col("fp").alias("__tl_fp"), F.lit(-1).cast("long").alias("__tl_mask")
-    )
-    todo, found = every, None
-    while True:
+def links(
+    items: DataFrame,
+    distance: int = MAX_DISTANCE,
+    wide_distance: int = 0,
+    node_rows: int = NODE_ROWS,
+    part_rows: int = PART_ROWS,
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Spanning links ``(u, v)`` among ``items(__tl_fp, __tl_v, __tl_wide)``; u and v are values of ``__tl_v``.
+
+    No node of more than ``max(node_rows, 2 * part_rows)`` rows is in one task.
+    """
+    todo = items.select(F.lit("").alias("__tl_path"), F.lit(-1).cast("long").alias("__tl_mask"), "__tl_fp", "__tl_v", "__tl_wide")
+    found = None
+    for depth in range(MAX_DEPTH):
         routed = materialise(todo.mapInArrow(_expand(distance), ROUTE), "nodes")
         sizes = routed.groupBy("__tl_path").agg(F.count("*").alias("__tl_n")).filter("__tl_n > 1")
-        # At most rows / node_rows nodes are large; all others are finished in this round.
-        small = routed.join(sizes.filter(F.col("__tl_n") <= node_rows).select("__tl_path"), "__tl_path", "left_semi")
-        large = routed.join(sizes.filter(F.col("__tl_n") > node_rows).select("__tl_path"), "__tl_path", "left_semi")
-        few_bits = F.bit_count("__tl_mask") <= MIN_FREE_BITS
-        ready = small.unionAll(large.filter(few_bits))
+        sized = routed.join(sizes, "__tl_path")
+        splits = (F.col("__tl_n") > split_rows) & (F.bit_count("__tl_mask") > distance + 1)
+        if depth == MAX_DEPTH - 1:
+            splits = F.lit(False)
+        ready = sized.filter(~splits)
+        parts = F.when(F.col("__tl_n") <= node_rows, 1).otherwise(F.ceil(F.col("__tl_n") / part_rows).cast("int"))
+        mine = F.pmod(F.xxhash64("__tl_fp", "__tl_v", "__tl_wide"), parts).cast("int")
+        meets = F.filter(F.sequence(F.lit(0), parts - 1), lambda q: (q != mine) | (parts == 1))
+        named = F.transform(
+            meets, lambda q: F.when(parts == 1, F.col("__tl_path")).otherwise(F.concat_ws("|", "__tl_path", F.least(q, mine), F.greatest(q, mine)))
+        )
+        tasks = ready.select(F.explode(named).alias("__tl_path"), "__tl_fp", "__tl_v", "__tl_wide")
         done = (
-            ready.repartition("__tl_path")
-            .sortWithinPartitions("__tl_path", "__tl_fp")
-            .mapInArrow(_link_nodes(distance), "u long, v long")
+            tasks.repartition("__tl_path")
+            .sortWithinPartitions("__tl_path")
+            .mapInArrow(_link_nodes(distance, wide_distance), "u long, v long")
         )
         found = done if found is None else found.unionAll(done)
-        todo = large.filter(~few_bits)
-        if todo.isEmpty():
-            return found
+        todo = sized.filter(splits).select("__tl_path", "__tl_mask", "__tl_fp", "__tl_v", "__tl_wide")
+        if depth == MAX_DEPTH - 1 or todo.isEmpty():
+            break
+    return found
 
 
 # ---------------------------------------------------------------- operator
@@ -244,7 +296,8 @@ def near_duplicates(
 
 def _label(prints: DataFrame, distance: int) -> DataFrame:
     distinct = materialise(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct")
-    edges = materialise(links(distinct, distance), "links")
+    items = distinct.select(F.col("fp").alias("__tl_fp"), F.col("fp").alias("__tl_v"), F.lit(b"").alias("__tl_wide"))
+    edges = materialise(links(items, distance), "links")
     comp = components(edges)
     labelled = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first_id", F.coalesce("component", "fp").alias("component")
@@ -256,20 +309,81 @@ def _label(prints: DataFrame, distance: int) -> DataFrame:
     return prints.join(by_fp, "fp")
 
 
-def drop_near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    words: int = SHINGLE_WORDS,
-    distance: int = MAX_DISTANCE,
+# ---------------------------------------------------------------- similarity thresholds
+
+
+def wide_prints(hashes: np.ndarray, counts: np.ndarray, lanes: int = LANES) -> np.ndarray:
+    """(rows x lanes) SimHash of each row's distinct hashes; every lane mixes the hashes anew."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    with np.errstate(over="ignore"):
+        _, at = np.unique(hashes ^ (row.astype(np.uint64) * P1), return_index=True)
+        at.sort()
+        once, counts = hashes[at], np.bincount(row[at], minlength=len(counts))
+        out = np.zeros((len(counts), lanes), dtype=np.uint64)
+        for k in range(lanes):
+            x = once + np.uint64(k) * P1
+            for shift, factor in ((30, P2), (27, P3), (31, P5)) if k else ():
+                x = (x ^ (x >> np.uint64(shift))) * factor
+            out[:, k] = majority_bits(x, counts)
+    return out
+
+
+def wide_cut(similarity: float, bits: int = 64 * LANES, slack: float = SLACK) -> int:
+    """Differing bits at which two sets of one size have this Jaccard similarity, plus the slack.
+
+    Sets of similarity s have cosine 2s / (1 + s), and each bit differs with probability angle / pi.
+    """
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(bits * p + slack * math.sqrt(bits * p * (1 - p)))
+
+
+def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batches_by_bytes(batch, "text"):
+                buf, starts, ends, first = clean_words(part.column("text"), FOLD_AZ)
+                single = wide_prints(*shingle_hashes(buf, starts, ends, first, 1), 1)[:, 0]
+                wide = wide_prints(*shingle_hashes(buf, starts, ends, first, words))
+                width = wide.shape[1] * 8
+                data = wide.tobytes()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array(single.view(np.int64)), pa.array([data[k : k + width] for k in range(0, len(data), width)], pa.binary())],
+                    ["__tl_v", "__tl_fp", "__tl_wide"],
+                )
+
+    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+    return slim.mapInArrow(stage, "__tl_v long, __tl_fp long, __tl_wide binary")
+
+
+def similar_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
-    """One row of each component, the one of the smallest id; rows with null ids stay only alone.
+    """``(doc id, component_id)`` of every document that has a similar one, itself and its class's smallest id.
 
-    Of repeated rows with that id one stays.
+    Links: at most ``WORD_DISTANCE`` differing bits between fingerprints of distinct words, and an
+    estimated Jaccard similarity of ``words``-word shingle sets of at least ``similarity`` (256-bit
+    estimate, ``SLACK`` standard deviations in favour of linking). Components are transitive.
+    Ids are whole numbers; rows with one id are one document; rows with null ids are in no
+    class. Texts without words are all alike. Empty tables give empty results.
     """
-    marks = near_duplicates(docs, id_col, text_col, words, distance)
-    keep = materialise(
-        marks.groupBy("component_id").agg(F.min(id_col).alias("__tl_keep")).select("__tl_keep"), "keep"
-    )
-    kept = docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("__tl_keep")), "left_semi")
-    return kept.dropDuplicates([id_col])
+    sketches = _sketches(docs, id_col, text_col, words)
+    # Documents of one sketch are linked through the smallest, before the index.
+    grouped = materialise(sketches, "sketches")
+    items = materialise(grouped.groupBy("__tl_fp", "__tl_wide").agg(F.min("__tl_v").alias("__tl_v")), "items")
+    same = grouped.join(items.withColumnRenamed("__tl_v", "__tl_first"), ["__tl_fp", "__tl_wide"])
+    same = same.filter("__tl_v <> __tl_first").select(F.col("__tl_v").alias("u"), F.col("__tl_first").alias("v"))
+    found = links(items.select("__tl_fp", "__tl_v", "__tl_wide"), WORD_DISTANCE, wide_cut(similarity))
+    edges = materialise(found.unionAll(same), "links")
+    return components(edges).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
+
+
+def drop_similar(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """``docs`` without those of :func:`similar_documents` that are not their class's smallest id.
+
+    Rows that repeat an id stay or go together; rows with null ids stay.
+    """
+    classes = similar_documents(docs, id_col, text_col, words, similarity)
+    gone = materialise(classes.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__tl_gone")), "gone")
+    return docs.join(gone, F.col(f"`{id_col}`") == F.col("__tl_gone"), "left_anti")
