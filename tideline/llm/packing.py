@@ -21,7 +21,8 @@ from .wordbpe import WordTokenizer
 
 LENGTH = 2048
 END_ID = 1
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
+STEP_BYTES = 1 << 20
 SCHEMA = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -72,6 +73,19 @@ def _tokenizer(path: str) -> WordTokenizer:
     return _tokenizers[path]
 
 
+def _encoded(texts: list[str], tokenizer: WordTokenizer) -> Iterator[bytes]:
+    """Ids of each text; about STEP_BYTES of texts are cut into words at once."""
+    step, size = [], 0
+    for text in texts:
+        step.append(text)
+        size += len(text)
+        if size >= STEP_BYTES:
+            yield from tokenizer.encode_batch(step)
+            step, size = [], 0
+    if step:
+        yield from tokenizer.encode_batch(step)
+
+
 def pack_group(
     ids: list, texts: list[str], group: int, tokenizer_path: str, length: int, end_id: int
 ) -> Iterator[tuple]:
@@ -79,7 +93,7 @@ def pack_group(
     end = np.asarray([end_id], dtype="<u4").tobytes()
     width = 4 * length
     full, rest = 0, []
-    for doc, data in zip(ids, _tokenizer(tokenizer_path).encode_batch(texts)):
+    for doc, data in zip(ids, _encoded(texts, _tokenizer(tokenizer_path))):
         data += end
         tokens = len(data) // 4
         cut = len(data) - len(data) % width

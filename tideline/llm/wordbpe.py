@@ -15,7 +15,8 @@ import unicodedata
 import numpy as np
 import regex
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 500_000
+CACHE_PARTS = 250_000
 NO_MERGE = 2**31 - 1
 #: White space for the host language but not for the tokenizer: fixed values.
 ODD_SPACES = frozenset("\x1c\x1d\x1e\x1f")
@@ -65,7 +66,7 @@ class WordTokenizer:
                 cut[word] = table.pattern.findall(word.lower())
             else:
                 known[word] = self._direct(word)
-        if len(parts) > CACHE_WORDS:
+        if len(parts) > CACHE_PARTS:
             parts.clear()
         fresh = list({p for some in cut.values() for p in some if p not in parts})
         if fresh:
