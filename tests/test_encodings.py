@@ -16,9 +16,12 @@ from tideline.functions import avro, wire
 from tideline.functions.tagged_json import json_column
 from tideline.registry import FileRegistry, HttpRegistry, MemoryRegistry, RegistryError
 
-ALL = T.StructType.fromDDL(
-    "b boolean, f float, d double, s short, i int, l long, n decimal(10,2), da date, ts timestamp_ntz, tz timestamp, y binary, t string, a array<int>"
-)
+ALL = T.StructType([
+    T.StructField("b", T.BooleanType()), T.StructField("f", T.FloatType()), T.StructField("d", T.DoubleType()), T.StructField("s", T.ShortType()),
+    T.StructField("i", T.IntegerType()), T.StructField("l", T.LongType()), T.StructField("n", T.DecimalType(10, 2)), T.StructField("da", T.DateType()),
+    T.StructField("ts", T.TimestampNTZType()), T.StructField("tz", T.TimestampType()), T.StructField("y", T.BinaryType()),
+    T.StructField("t", T.StringType()), T.StructField("a", T.ArrayType(T.IntegerType())),
+])
 ROW = (
     True, 1.5, -2.25, 7, -42, 2**40, decimal.Decimal("42.50"), datetime.date(2014, 12, 27), datetime.datetime(2014, 12, 27, 17, 40, 15, 123456),
     datetime.datetime(2014, 12, 27, 16, 40, 15, 123456), b"\xbe\xef\x00\xca\xfe", "We can handle unicode: ☃", [1, 2],
@@ -78,7 +81,7 @@ VALUE = st.fixed_dictionaries({
 
 @given(VALUE)
 def test_record_roundtrip(value):
-    schema = wire.row_schema("t", T.StructType.fromDDL("b boolean, l long, d double, t string, y binary"))
+    schema = wire.row_schema("t", T.StructType([ALL[c] for c in ("b", "l", "d", "t", "y")]))
     data = avro.encode(schema, value)
     assert avro.decode_whole(schema, data) == value
     with pytest.raises(avro.TrailingBytes):
@@ -86,7 +89,7 @@ def test_record_roundtrip(value):
 
 
 def test_special_times():
-    schema = wire.row_schema("t", T.StructType.fromDDL("a date, z date, n date"))
+    schema = wire.row_schema("t", T.StructType([T.StructField(c, T.DateType()) for c in "azn"]))
     value = {"a": "POS_INFINITY", "z": "NEG_INFINITY", "n": {"year": 2014, "month": 12, "day": 27}}
     data = avro.encode(schema, value)
     assert data[:4].hex() == "04000402" and avro.decode_whole(schema, data) == value

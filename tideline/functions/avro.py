@@ -72,6 +72,7 @@ def encode(schema: Any, value: Any, names: dict[str, Any] | None = None) -> byte
     if isinstance(schema, str) and schema in names:
         schema = names[schema]
     if isinstance(schema, list):
+        _learn_all(schema, names)
         if isinstance(value, Branch):
             index, value = value
         else:
@@ -112,6 +113,13 @@ def _learn(schema: dict[str, Any], names: dict[str, Any]) -> None:
         names[f"{schema.get('namespace', '')}.{schema['name']}".lstrip(".")] = schema
 
 
+def _learn_all(union: list[Any], names: dict[str, Any]) -> None:
+    """Names that a branch defines are needed later even where the branch is not taken."""
+    for s in union:
+        if isinstance(s, dict):
+            _learn(s, names)
+
+
 def _branch(schema: list[Any], value: Any, names: dict[str, Any]) -> int:
     kinds = []
     for s in schema:
@@ -125,7 +133,6 @@ def _branch(schema: list[Any], value: Any, names: dict[str, Any]) -> int:
     for index, (kind, s) in enumerate(kinds):
         if kind not in ("null", "enum") and value is not None:
             return index
-    # An enum named in this very union for the first time is found by its definition.
     raise ValueError(f"no branch of {schema} for {value!r}")
 
 
@@ -138,10 +145,7 @@ def decode(schema: Any, data: bytes, at: int = 0, names: dict[str, Any] | None =
         index, at = decode_long(data, at)
         if not 0 <= index < len(schema):
             raise ValueError(f"union index {index} out of range")
-        # Names defined in a branch that was not taken are still needed later.
-        for s in schema:
-            if isinstance(s, dict):
-                _learn(s, names)
+        _learn_all(schema, names)
         return decode(schema[index], data, at, names)
     kind = schema if isinstance(schema, str) else schema["type"]
     if kind == "null":
@@ -368,7 +372,7 @@ def decode_rows(df: DataFrame, schema: dict[str, Any], result: T.StructType, col
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        made, arrow = json.loads(blob), to_arrow_schema(result, timezone="UTC")
+        made, arrow = json.loads(blob), to_arrow_schema(result)
         for batch in batches:
             rows = [None if v is None else decode_whole(made, v) for v in batch.column(0).to_pylist()]
             cols = [

@@ -97,8 +97,17 @@ def schema_changes(schemas: DataFrame, text: str = "schema_version") -> DataFram
     return schemas.withColumn("change", change)
 
 
-FRAME_TYPE = T.StructType.fromDDL(
-    "tag int, xid long, lsn long, relid long, key_schema string, row_schema string, key binary, old_row binary, new_row binary"
+FRAME_TYPE = (
+    T.StructType()
+    .add("tag", "integer")
+    .add("xid", "long")
+    .add("lsn", "long")
+    .add("relid", "long")
+    .add("key_schema", "string")
+    .add("row_schema", "string")
+    .add("key", "binary")
+    .add("old_row", "binary")
+    .add("new_row", "binary")
 )
 
 

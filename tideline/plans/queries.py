@@ -121,9 +121,10 @@ found AS (SELECT c.oid::BIGINT AS relid, n.nspname AS namespace, c.relname AS ta
   WHERE c.relkind = 'r' AND c.persist = 'p' AND n.nspname NOT LIKE 'pg_%' AND n.nspname <> 'information_schema')"""
 
 
-@query(f"WITH {_CATALOG} SELECT * FROM found")
+@query(f"WITH {_CATALOG} SELECT relid, namespace, table_name, identity, coalesce(key_index_id, 0) AS key_index_id, key_index FROM found")
 def catalog_keys(spark, sf_dir):
-    return cat.discover(*catalog(spark))
+    """0 stands for no key index."""
+    return cat.discover(*catalog(spark)).fillna(0, ["key_index_id"])
 
 
 @query(f"""WITH {_CATALOG} SELECT relid, namespace, table_name,
@@ -190,9 +191,10 @@ def _split(spark, sf_dir) -> DataFrame:
     return out.select("lsn", "seq", "kind", F.col("key.user_id").alias("user_id"), F.col("key.event_type").alias("event_type"), F.col("new.event_id").alias("event_id"))
 
 
-@query(f"WITH {L2}, {SPLIT} SELECT * FROM split")
+@query(f"WITH {L2}, {SPLIT} SELECT lsn, seq, kind, user_id, event_type, coalesce(event_id, -1) AS event_id FROM split")
 def split_key_change(spark, sf_dir):
-    return _split(spark, sf_dir)
+    """-1 stands for the missing new row of a delete."""
+    return _split(spark, sf_dir).fillna(-1, ["event_id"])
 
 
 @query(f"""WITH {L2}, {SPLIT} SELECT user_id, event_type, arg_max(event_id, lsn * 2 + seq) AS event_id FROM split
@@ -486,14 +488,23 @@ def unknown_relations(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory())
+
+
 @query(_COMPACT)
 def stream_compact_latest(spark, sf_dir):
     """The events table as a stream, compacted with state, must equal the batch result."""
     base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-")
     work = f"{base}/tideline/stream-{uuid.uuid4().hex}"
-    path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    source = spark.readStream.schema(schema).parquet(path)
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    # A stream source is a folder; the table may be one file in it.
+    source = spark.readStream.schema(schema)
+    if is_folder(spark, f"{sf_dir}/events.parquet"):
+        source = source.parquet(f"{sf_dir}/events.parquet")
+    else:
+        source = source.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     keep = ["event_id", "event_type", "value"]
     state = compaction.latest_stream(log_of_events(source), ["user_id"], log.position(), F.col("kind") == "delete", keep)
     query = compaction.write_changes(state, f"{work}/changes", f"{work}/checkpoint")

@@ -75,7 +75,7 @@ class _Log:
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        target = to_arrow_schema(self.schema, timezone="UTC")
+        target = to_arrow_schema(self.schema)
         # The range is pushed to the files: row groups outside it are skipped.
         inside = (ds.field("lsn") > part.low) & (ds.field("lsn") <= part.high)
         for batch in self.dataset().to_batches(columns=self.schema.names, filter=inside):
