@@ -1,5 +1,6 @@
 """The registered queries against their contracts, and the pipeline."""
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -77,3 +78,42 @@ def test_pipeline(spark, texts):
     assert len({texts[d] for d in kept}) == len(kept)
     packed = corpus_pipeline.run(spark, SF)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == kept
+
+
+def grams(text, n=5):
+    """Distinct n-word shingles, lower-cased as the operator does."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def similar_pairs(texts):
+    """Jaccard similarity of all pairs that share a shingle."""
+    sets, holders, shared = {d: grams(t) for d, t in texts.items()}, defaultdict(list), Counter()
+    for d, some in sets.items():
+        for g in some:
+            holders[g].append(d)
+    for some in holders.values():
+        for i, a in enumerate(sorted(some)):
+            for b in sorted(some)[i + 1 :]:
+                shared[a, b] += 1
+    return {(a, b): n / (len(sets[a]) + len(sets[b]) - n) for (a, b), n in shared.items()}
+
+
+def test_dedup_stages_against_brute_force(spark):
+    """Exact stage: one row of each text. Near stage: close pairs lose one, and nothing goes without a close one."""
+    sf = "/root/testdata/sf0.01"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    last = {}
+    for d in sorted(texts):
+        last[texts[d]] = d
+    unique = {r["doc_id"] for r in stages["exact_dedup"](spark, docs, sf).collect()}
+    assert unique == set(last.values())
+    before = docs.filter(docs["doc_id"].isin(*unique))
+    kept = {r["doc_id"] for r in stages["near_dedup"](spark, before, sf).select("doc_id").collect()}
+    pairs = similar_pairs({d: texts[d] for d in unique})
+    close = [p for p, s in pairs.items() if s >= 0.9]
+    assert sum(not (a in kept and b in kept) for a, b in close) >= 0.95 * len(close)
+    for gone in unique - kept:
+        assert max((s for p, s in pairs.items() if gone in p), default=0) >= 0.6
