@@ -31,7 +31,7 @@ SAMPLE_CLEAN = 4000
 SAMPLE_TEXT_BYTES = 200_000
 MAX_FEATURES = 4096
 CHANCE = 0.01
-PRECISION = 0.75
+PRECISION = 0.45
 PREFIX_WORDS = 3
 CACHE_TYPES = 300_000
 THRESHOLD = 0.3
