@@ -10,6 +10,7 @@ from tideline.registry import MemoryRegistry
 from tideline.sources.catalog import CatalogError, Table
 from tideline.sources.changelog import OptionError, StreamReader, _Log, register
 from tideline.streaming.compaction import current_state, latest_stream, write_changes
+from tideline.streaming.handlers import Handler, dispatch
 from tideline.streaming.replicate import Job, run
 from tideline.streaming.sinks import ConsoleSink, FolderSink, KafkaSink, batch_writer
 from tideline.streaming.transactions import complete_transactions
@@ -161,3 +162,49 @@ def test_command_line(spark, tmp_path, capsys):
     assert table_names(spark, str(tmp_path), "%") == ["orders", "users"] and table_names(spark, str(tmp_path), "u%") == ["users"]
     with pytest.raises(RuntimeError, match="Kafka connector"):
         KafkaSink().write(spark.createDataFrame([("t", "k", "v")], "topic string, key string, value string"), 0)
+
+
+class Counting(Handler):
+    def __init__(self):
+        self.seen, self.idle, self.errors = [], 0, []
+
+    def on_insert(self, events, batch_id):
+        self.seen.append(("insert", events.count()))
+
+    def on_delete(self, events, batch_id):
+        raise ValueError("no deletes here")
+
+    def on_keepalive(self, batch_id):
+        self.idle += 1
+
+    def on_error(self, error, batch_id):
+        self.errors.append(str(error))
+
+
+def test_handlers(spark):
+    rows = spark.createDataFrame(events(21), SCHEMA)
+    handler = Counting()
+    call = dispatch(handler, ErrorPolicy.LOG)
+    call(rows, 0)
+    call(rows.limit(0), 1)
+    assert handler.seen == [("insert", 18)] and handler.idle == 1 and handler.errors == ["no deletes here"]
+    with pytest.raises(PublishError):
+        dispatch(handler)(rows, 2)
+
+
+def test_sql_functions(spark):
+    from tideline.functions.sql import export_view, register
+
+    spark.createDataFrame([(1, "a")], "id int, name string").createOrReplaceTempView("people")
+    spark.createDataFrame([("x",)], "note string").createOrReplaceTempView("notes")
+    tables = [Table(1, "people", ["id"]), Table(2, "notes")]
+    register(spark, tables)
+    row = spark.sql("SELECT tl_row_schema('people') r, tl_key_schema('people') k, tl_frame_schema() f").first()
+    assert '"name":"people"' in row["r"] and '"name":"people_pkey"' in row["k"] and '"name":"Frame"' in row["f"]
+    with pytest.raises(Exception, match="has no key"):
+        spark.sql("SELECT tl_key_schema('notes')").collect()
+    with pytest.raises(CatalogError):
+        export_view(spark, tables)
+    export_view(spark, tables, allow_unkeyed=True)
+    got = spark.sql("SELECT key, value FROM tl_export WHERE table_name = 'people'").collect()
+    assert [tuple(r) for r in got] == [('{"id":{"int":1}}', '{"id":{"int":1},"name":{"string":"a"}}')]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
 
 from .functions.naming import split_option
@@ -96,6 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         messages = spark.readStream.format("changelog").schema(schema).option("path", args.log).load()
     query = run(spark, job, lambda n: spark.read.parquet(f"{args.source}/{n}.parquet"), tables, messages, 0, args.skip_snapshot)
     if query is not None:
+        for number in (signal.SIGINT, signal.SIGTERM):
+            signal.signal(number, lambda *_: query.stop())  # the batch at work is not acknowledged
         query.awaitTermination()
     return 0
 
