@@ -41,8 +41,9 @@ def test_compaction(spark):
 def test_schema_as_of_and_changes(spark):
     rows = spark.createDataFrame([(1, n, 0) for n in (1, 5, 6, 9)] + [(2, 5, 0)], "relid long, lsn long, seq int")
     events = spark.createDataFrame([(1, 5, -1, "v1"), (1, 7, 0, "v2"), (1, 8, 0, "v2")], "relid long, lsn long, seq int, schema_version string")
-    got = {(r["relid"], r["lsn"]): r["schema_version"] for r in log.schema_in_force(rows, events).collect()}
-    assert got == {(1, 1): None, (1, 5): "v1", (1, 6): "v1", (1, 9): "v2", (2, 5): None}
+    few = {(r["relid"], r["lsn"]): r["schema_version"] for r in log.schema_in_force(rows, events).collect()}
+    got = {(r["relid"], r["lsn"]): r["schema_version"] for r in log.schema_in_force(rows, events, max_broadcast=2).collect()}
+    assert got == few == {(1, 1): None, (1, 5): "v1", (1, 6): "v1", (1, 9): "v2", (2, 5): None}
     assert [r["change"] for r in log.schema_changes(events).orderBy("lsn").collect()] == ["new", "changed", "unchanged"]
 
 

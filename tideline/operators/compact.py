@@ -10,7 +10,8 @@ def latest(log: DataFrame, key: list[str], order: Column, deleted: Column, keep:
     """``key`` and ``keep`` of the last event of each key, unless that event is a delete.
 
     A maximum over structs is an aggregate with map-side partials: a key that a third of
-    all events share reaches its reducer as one row a task, and nothing is sorted.
+    all events share reaches its reducer as one row a task. Sorting is local, by key, before
+    the exchange; unlike a ranking window, no task orders all events of a key.
     """
     state = F.struct(deleted.alias("gone"), *[F.col(c) for c in keep])
     last = log.groupBy(*key).agg(F.max_by(state, order).alias("__s"))

@@ -57,32 +57,32 @@ def split_key_changes(log: DataFrame, old_key: Column) -> DataFrame:
     )
 
 
-def schema_intervals(schemas: DataFrame, version: str = "schema_version") -> DataFrame:
-    """From schema events ``(relid, lsn, seq, version)`` the half-open range each is in force for."""
-    order = Window.partitionBy("relid").orderBy("lsn", "seq")
-    return schemas.select(
-        "relid",
-        version,
-        F.struct("lsn", "seq").alias("valid_from"),
-        F.lead(F.struct("lsn", "seq")).over(order).alias("valid_to"),
-    )
+MAX_BROADCAST_SCHEMAS = 1000
 
 
-def schema_in_force(rows: DataFrame, schemas: DataFrame, version: str = "schema_version") -> DataFrame:
+def schema_in_force(
+    rows: DataFrame, schemas: DataFrame, version: str = "schema_version", max_broadcast: int = MAX_BROADCAST_SCHEMAS
+) -> DataFrame:
     """Each row event with the latest schema of its table at or before its position (null if none).
 
-    Schema events are few: they become intervals, joined by table and range. Rows are not
-    sorted or gathered by table, so a table with most of the traffic is no hot task; the
-    engine broadcasts the intervals when their measured size is under its threshold.
+    Schema events are few. Up to ``max_broadcast`` of them (counted first) become one sorted list a
+    table, broadcast to the rows, which are then neither moved nor sorted: a table with most of
+    the traffic is no hot task. More of them are merged into the rows' order by a window per table.
     """
-    spans = schema_intervals(schemas, version).withColumnRenamed("relid", "__relid")
-    at = F.struct(rows["lsn"], rows["seq"])
-    inside = (
-        (rows["relid"] == F.col("__relid"))
-        & (at >= F.col("valid_from"))
-        & (F.col("valid_to").isNull() | (at < F.col("valid_to")))
-    )
-    return rows.join(spans, inside, "left").drop("__relid", "valid_from", "valid_to")
+    if schemas.limit(max_broadcast + 1).count() <= max_broadcast:
+        history = F.sort_array(F.collect_list(F.struct("lsn", "seq", F.col(version).alias("v"))))
+        lists = F.broadcast(schemas.groupBy(F.col("relid").alias("__relid")).agg(history.alias("__history")))
+        joined = rows.join(lists, rows["relid"] == F.col("__relid"), "left")
+        at = F.struct(F.col("lsn"), F.col("seq"))
+        before = F.filter("__history", lambda s: F.struct(s["lsn"], s["seq"]) <= at)
+        latest = F.try_element_at(before, F.lit(-1))["v"]
+        return joined.withColumn(version, latest).drop("__relid", "__history")
+    marks = schemas.select("relid", "lsn", "seq", F.struct(F.col(version).alias("v")).alias("__mark"))
+    both = rows.withColumn("__row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
+    # A schema event goes before a row at its own position.
+    order = Window.partitionBy("relid").orderBy("lsn", "seq", F.col("__row").asc_nulls_first())
+    filled = both.withColumn("__mark", F.last("__mark", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return filled.filter("__row").withColumn(version, F.col("__mark.v")).drop("__row", "__mark")
 
 
 def schema_changes(schemas: DataFrame, text: str = "schema_version") -> DataFrame:

@@ -43,7 +43,7 @@ def log_of_events(e: DataFrame) -> DataFrame:
     return e.select(
         (F.col("event_id") + 1).alias("lsn"),
         F.lit(0).alias("seq"),
-        (F.floor(F.col("event_id") / 10) + 1).cast("long").alias("xid"),
+        (F.expr("event_id div 10") + 1).alias("xid"),
         kind.alias("kind"),
         F.lit(EVENTS_RELID).cast("long").alias("relid"),
         "event_id", "user_id", "event_type", "value", "props",
@@ -61,7 +61,7 @@ def mutable_key_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         (F.col("event_id") + 1).alias("lsn"),
         F.lit(0).alias("seq"),
-        (F.floor(F.col("event_id") / 10) + 1).cast("long").alias("xid"),
+        (F.expr("event_id div 10") + 1).alias("xid"),
         F.when(old.isNull(), "insert").otherwise("update").alias("kind"),
         F.lit(EVENTS_RELID).cast("long").alias("relid"),
         F.struct("user_id", "event_type").alias("key"),
