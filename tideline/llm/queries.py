@@ -41,7 +41,48 @@ def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(pages, page_outcomes(spark, sf_dir), URL_RULES)
-    return judged.select("page_id", "host", "path", "rule", "verdict", "posterior_low", "labelled_pages")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op1_sql() -> str:
+    """The same shrinkage, level by level, in DuckDB."""
+    rules = ", ".join(
+        f"('{rule}', '{rule.partition('/')[0]}', '/{rule.partition('/')[2]}', '{what}')" for rule, what in URL_RULES
+    )
+    suffixes = ", ".join(f"'{s}'" for s in url_filter.TWO_LABEL_SUFFIXES)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+    def level(name: str, source: str) -> str:
+        noise = "n * p * (1 - p)"
+        return f"""{name}_r AS (SELECT CASE WHEN sum({noise} * (n - 1)) > 0
+            THEN greatest(sum((y - n * p) * (y - n * p) - {noise}) / sum({noise} * (n - 1)), 1e-9) ELSE 1.0 END AS rho FROM {source}),
+          {name} AS (SELECT s.*, least(greatest(1 / rho - 1, {url_filter.WEAKEST}), {url_filter.STRONGEST}) AS m,
+            (p * least(greatest(1 / rho - 1, {url_filter.WEAKEST}), {url_filter.STRONGEST}) + y)
+            / (least(greatest(1 / rho - 1, {url_filter.WEAKEST}), {url_filter.STRONGEST}) + n) AS q FROM {source} s, {name}_r)"""
+
+    return f"""
+WITH rules(rule, rhost, rpath, what) AS (VALUES {rules}),
+p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+o AS (SELECT host, greatest(1 - quality, toxic) AS bad FROM p JOIN labels l ON l.doc_id = p.page_id WHERE host <> ''),
+t AS (SELECT host, string_split(host, '.') AS parts, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS y FROM o WHERE bad IS NOT NULL GROUP BY host),
+h AS (SELECT host, n, y, len(parts) AS k, array_to_string(parts[-2:], '.') IN ({suffixes}) AS two,
+        array_to_string(parts[-1:], '.') AS s1, array_to_string(parts[-2:], '.') AS s2, array_to_string(parts[-3:], '.') AS s3 FROM t),
+hosts AS (SELECT host, n, y, CASE WHEN two THEN s2 ELSE s1 END AS suffix,
+        CASE WHEN regexp_matches(host, '^[0-9.]+(:[0-9]+)?$') THEN host WHEN two THEN s3 ELSE s2 END AS domain FROM h),
+d0 AS (SELECT suffix, domain, sum(n) AS n, sum(y) AS y FROM hosts GROUP BY ALL),
+s0 AS (SELECT suffix, sum(n) AS n, sum(y) AS y, (SELECT (sum(y) + 1) / (sum(n) + 2) FROM hosts) AS p FROM d0 GROUP BY suffix),
+{level("s1", "s0")},
+d1 AS (SELECT d0.*, s1.q AS p FROM d0 JOIN s1 USING (suffix)),
+{level("d2", "d1")},
+h1 AS (SELECT hosts.*, d2.q AS p FROM hosts JOIN d2 USING (suffix, domain)),
+{level("h2", "h1")},
+low AS (SELECT host, greatest(q - {url_filter.Z} * sqrt(q * (1 - q) / (m + n + 1)), 0) AS low FROM h2),
+fits AS (SELECT page_id, arg_max(rule, strlen(rule)) AS rule, arg_max(what, strlen(rule)) AS what
+         FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.what, CASE WHEN low > {url_filter.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN fits f USING (page_id) LEFT JOIN low ON low.host = p.host
+"""
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,4 +226,4 @@ QUERIES = {
         op6_toxic_spans, op7_license_scan, op8_pack, op9_quality, op10_topk,
     )
 }
-ORACLES = {"op2_exact_dedup": OP2_SQL, "op7_license_scan": _op7_sql(), "op10_topk": OP10_SQL}
+ORACLES = {"op1_url_filter": _op1_sql(), "op2_exact_dedup": OP2_SQL, "op7_license_scan": _op7_sql(), "op10_topk": OP10_SQL}
