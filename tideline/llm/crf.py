@@ -66,18 +66,15 @@ def forward_backward(emission: np.ndarray, starts: np.ndarray, lengths: np.ndarr
 
 
 def fit(
-    types: np.ndarray, labels: np.ndarray, counts: np.ndarray, feature_of: list[np.ndarray], n_features: int,
-    steps: int = 60, rate: float = 0.3, l2: float = 0.02,
+    types: np.ndarray, labels: np.ndarray, starts: np.ndarray, lengths: np.ndarray, owner: np.ndarray, flat: np.ndarray,
+    n_types: int, n_features: int, steps: int = 60, rate: float = 0.3, l2: float = 0.02,
 ) -> tuple[np.ndarray, Chain]:
     """Weights (the last is the bias) and chain that maximise the likelihood of token labels.
 
-    ``types[t]`` is the type of token t, ``feature_of[type]`` its active features.
+    ``types[t]`` is the type of token t; type ``owner[k]`` has feature ``flat[k]``. The windows
+    given by ``starts`` and ``lengths`` must cover the tokens without gaps.
     Gradient ascent with per-parameter step sizes (Adam).
     """
-    starts, lengths = windows(counts)
-    n_types = len(feature_of)
-    flat = np.concatenate([*feature_of, np.zeros(0, np.int64)]).astype(np.int64)
-    owner = np.repeat(np.arange(n_types), [len(f) for f in feature_of])
     first = np.zeros(len(types), bool)
     first[starts] = True
     inner = ~first

@@ -26,9 +26,11 @@ from .shingles import batches_by_bytes
 
 TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = range(3, 9)
-SAMPLE_TOXIC = 2000
-SAMPLE_CLEAN = 4000
+SAMPLE_TOXIC = 1000
+SAMPLE_CLEAN = 2000
 SAMPLE_TEXT_BYTES = 200_000
+#: Windows without a marking word that the chain is trained on, besides all with one.
+PLAIN_WINDOWS = 2000
 MAX_FEATURES = 4096
 CHANCE = 0.01
 PRECISION = 0.45
@@ -134,30 +136,47 @@ def _marking_features(doc_of: np.ndarray, type_of: np.ndarray, vocabulary: list[
     return [name for _, name in sorted(found, key=lambda x: (-x[0], x[1]))[:MAX_FEATURES]]
 
 
-def train(texts: list[str], toxic: np.ndarray) -> ToxicityModel:
-    """Model from whole texts and their 0/1 labels; one without evidence scores the base rate."""
+def train(texts: list[str], toxic: np.ndarray, rate: float | None = None) -> ToxicityModel:
+    """Model from whole texts and their 0/1 labels; one without evidence scores the base rate.
+
+    ``rate`` is the share of toxic texts where the model will be used, if the sample's differs.
+    """
     model = ToxicityModel()
-    base = float(np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5)))
+    sampled = float(np.log((toxic.sum() + 0.5) / (len(toxic) - toxic.sum() + 0.5)))
+    base = sampled if rate is None else float(np.log(np.clip(rate, 1e-6, 1 - 1e-6) / (1 - np.clip(rate, 1e-6, 1 - 1e-6))))
     model.calibration = (base, 0.0, 0.0, 0.0)
     known: dict[str, int] = {}
-    tokens = [np.fromiter((known.setdefault(w, len(known)) for w in TOKEN.findall(t.lower())), np.int64) for t in texts]
+    tokens = [np.fromiter((known.setdefault(w, len(known)) for w in TOKEN.findall(t.lower())), np.int32) for t in texts]
     counts = np.array([len(t) for t in tokens], dtype=np.int64)
     if not known or not 0 < toxic.sum() < len(toxic):
         return model
     types, vocabulary = np.concatenate(tokens), list(known)
-    doc_of = np.repeat(np.arange(len(counts)), counts)
+    del known, tokens
+    doc_of = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     marks = _marking_features(doc_of, types, vocabulary, toxic)
     if not marks:
         return model
     index = {name: i for i, name in enumerate(marks)}
-    feature_of = [np.array([index[f] for f in feature_names(w) if f in index], dtype=np.int64) for w in vocabulary]
-    marked = np.array([len(f) > 0 for f in feature_of])
-    labels = (marked[types] & (toxic[doc_of] > 0)).astype(float)
-    theta, model.chain = fit(types, labels, counts, feature_of, len(marks))
+    pairs = np.array([(t, index[f]) for t, w in enumerate(vocabulary) for f in feature_names(w) if f in index], dtype=np.int64)
+    owner, flat = pairs[:, 0], pairs[:, 1]
+    n_types = len(vocabulary)
+    del vocabulary
+    marked = np.zeros(n_types, bool)
+    marked[owner] = True
+    is_marked = marked[types]
+    starts, lengths = windows(counts)
+    hot = np.add.reduceat(is_marked, starts) > 0
+    plain = np.flatnonzero(~hot)
+    hot[plain[:: max(1, len(plain) // PLAIN_WINDOWS)]] = True
+    use = np.repeat(hot, lengths)
+    labels = (is_marked & (toxic[doc_of] > 0)).astype(float)
+    some = lengths[hot]
+    theta, model.chain = fit(types[use], labels[use], np.cumsum(some) - some, some, owner, flat, n_types, len(marks))
     model.weights, model.bias = dict(zip(marks, theta[:-1].tolist())), float(theta[-1])
-    per_type = np.array([theta[f].sum() for f in feature_of]) + theta[-1]
-    odds, _, _ = forward_backward(per_type[types], *windows(counts), model.chain)
-    model.calibration = _logistic(_summary(odds, counts), toxic)
+    per_type = np.bincount(owner, theta[flat], n_types) + theta[-1]
+    odds, _, _ = forward_backward(per_type[types], starts, lengths, model.chain)
+    fitted = _logistic(_summary(odds, counts), toxic)
+    model.calibration = (fitted[0] + base - sampled, *fitted[1:])
     return model
 
 
@@ -184,13 +203,14 @@ def fit_toxicity(
         for y, n in ((1, sample_toxic), (0, sample_clean))
     ]
     chosen = F.broadcast(draw[0].unionAll(draw[1]))  # bounded by the two sample sizes
+    rate = usable.agg(F.avg("y")).first()[0]
     rows = (
         docs.join(chosen, F.col(id_col) == F.col("__tl_id"))
         .select("y", "__tl_id", text_or_empty(text_col).alias("text"))
         .filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
     )
     table = rows.toArrow().sort_by([("__tl_id", "ascending"), ("text", "ascending")])
-    return train(table.column("text").to_pylist(), table.column("y").to_numpy().astype(np.float64))
+    return train(table.column("text").to_pylist(), table.column("y").to_numpy().astype(np.float64), rate)
 
 
 # ---------------------------------------------------------------- scoring
