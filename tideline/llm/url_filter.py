@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import materialise, without
 
 #: Suffixes of two labels under which names are registered: fixed values.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "org.au", "org.uk")
@@ -58,26 +58,21 @@ def rule_columns(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return hit, action
 
 
-def _with_strength(level: DataFrame) -> DataFrame:
-    """Add ``m``, the moment estimate of the prior strength over the groups of a level.
+def _posterior(level: DataFrame) -> DataFrame:
+    """Add ``m``, the moment estimate of the prior strength over the groups of a level, and the posterior mean ``q``.
 
     For groups of n trials with rate y/n around prior mean p, a beta-binomial has
     E[(y - np)^2] = np(1-p) (1 + (n-1) rho) with rho = 1 / (m + 1); summed over groups
-    this is solved for rho. The sums are a scalar subquery.
+    this is solved for rho. Two sums a level reach the driver.
     """
     noise = F.col("n") * F.col("p") * (1 - F.col("p"))
     sums = level.agg(
         F.sum(F.pow(F.col("y") - F.col("n") * F.col("p"), 2) - noise).alias("extra"),
         F.sum(noise * (F.col("n") - 1)).alias("room"),
-    )
-    rho = F.when(F.col("room") > 0, F.greatest(F.col("extra") / F.col("room"), F.lit(1e-9))).otherwise(F.lit(1.0))
-    strength = F.least(F.greatest(1 / rho - 1, F.lit(WEAKEST)), F.lit(STRONGEST))
-    return level.withColumn("m", sums.select(F.coalesce(strength, F.lit(WEAKEST)).alias("m")).scalar())
-
-
-def _posterior(level: DataFrame) -> DataFrame:
-    level = _with_strength(level)
-    return level.withColumn("q", (F.col("p") * F.col("m") + F.col("y")) / (F.col("m") + F.col("n")))
+    ).first()
+    rho = max(sums["extra"] / sums["room"], 1e-9) if sums["room"] else 1.0
+    m = min(max(1 / rho - 1, WEAKEST), STRONGEST)
+    return level.withColumn("m", F.lit(m)).withColumn("q", (F.col("p") * m + F.col("y")) / (m + F.col("n")))
 
 
 def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
@@ -93,11 +88,13 @@ def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
         .agg(F.count("*").cast("double").alias("n"), F.sum("bad").cast("double").alias("y"))
         .select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "y")
     )
+    hosts = materialise(hosts, "hosts")  # every level reads it
     domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     # Everything starts from a uniform Beta(1, 1) over the overall rate.
-    overall = suffixes.agg(((F.sum("y") + 1) / (F.sum("n") + 2)).alias("p"))
-    by_suffix = _posterior(suffixes.withColumn("p", overall.scalar())).select("suffix", F.col("q").alias("p"))
+    overall = hosts.agg(F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"), F.coalesce(F.sum("n"), F.lit(0.0)).alias("n")).first()
+    by_suffix = _posterior(suffixes.withColumn("p", F.lit((overall["y"] + 1) / (overall["n"] + 2))))
+    by_suffix = by_suffix.select("suffix", F.col("q").alias("p"))
     by_domain = _posterior(domains.join(by_suffix, "suffix")).select("suffix", "domain", F.col("q").alias("p"))
     scored = _posterior(hosts.join(by_domain, ["suffix", "domain"]))
     spread = F.sqrt(F.col("q") * (1 - F.col("q")) / (F.col("m") + F.col("n") + 1))
