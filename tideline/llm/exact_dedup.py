@@ -28,7 +28,7 @@ from .common import PREFIX, materialise, text_or_empty, utf8, without
 FIRST_BLOCK = 32
 GROWTH = 8
 MAX_HOT = 16384
-MIN_BUCKET_ROWS = 1000
+MIN_BUCKET_ROWS = 200
 
 PATH, BLOCK, HOT, KEEP, SIZE, TEXT, ID = (PREFIX + x for x in ("path", "block", "hot", "keep", "size", "text", "id"))
 
