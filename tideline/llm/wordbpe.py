@@ -15,11 +15,11 @@ import unicodedata
 import numpy as np
 import regex
 
-CACHE_WORDS = 500_000
-CACHE_PARTS = 250_000
+CACHE_WORDS = 1_000_000
+CACHE_PARTS = 500_000
 NO_MERGE = 2**31 - 1
 #: White space for the host language but not for the tokenizer: fixed values.
-ODD_SPACES = frozenset("\x1c\x1d\x1e\x1f")
+ODD_SPACES = regex.compile("[\x1c-\x1f]")
 LAST_PLAIN = "\u052f"
 PLACE_DEPENDENT = "\u03a3"
 
@@ -47,7 +47,7 @@ class WordTokenizer:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _usual(self, word: str) -> bool:
-        return word.isascii() and "<|" not in word or (
+        return (word.isascii() and "<|" not in word) or (
             max(word) <= LAST_PLAIN
             and PLACE_DEPENDENT not in word
             and unicodedata.is_normalized("NFC", word)
@@ -60,23 +60,30 @@ class WordTokenizer:
             for word in new:
                 known[word] = self._direct(word)
             return
-        cut: dict[str, list[str]] = {}
-        for word in new:
-            if self._usual(word):
-                cut[word] = table.pattern.findall(word.lower())
-            else:
-                known[word] = self._direct(word)
+        for word in [w for w in new if not self._usual(w)]:
+            known[word] = self._direct(word)
+        new = [w for w in new if w not in known]
         if len(parts) > CACHE_PARTS:
             parts.clear()
-        fresh = list({p for some in cut.values() for p in some if p not in parts})
+        # All words are cut in one go: a line each, and the line ends come back as parts.
+        cut = table.lines.findall("\n".join(new).lower())
+        fresh = list({p for p in cut if p not in parts} - {"\n"})
         if fresh:
             parts.update(zip(fresh, table.merge_all([p.encode() for p in fresh])))
-        for word, some in cut.items():
-            known[word] = b"".join([parts[p] for p in some])
+        some: list[bytes] = []
+        words = iter(new)
+        for part in cut:
+            if part == "\n":
+                known[next(words)] = b"".join(some) if len(some) != 1 else some[0]
+                some = []
+            else:
+                some.append(parts[part])
+        for word in words:  # the last line has no end
+            known[word] = b"".join(some)
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, each as little-endian 32-bit numbers."""
-        odd = [not ODD_SPACES.isdisjoint(t) for t in texts]
+        odd = [ODD_SPACES.search(t) is not None for t in texts]
         split = [[] if o else t.split() for t, o in zip(texts, odd)]
         known = self.known
         if len(known) > CACHE_WORDS:
@@ -94,7 +101,7 @@ class MergeTable:
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], dtype=np.int64)
         self.final = np.array([vocab[c + suffix] for c in letters], dtype=np.int64)
-        self.pattern = regex.compile(pattern)
+        self.lines = regex.compile(pattern + "|\n")
         left = np.array([vocab[a] for a, _ in merges], dtype=np.int64)
         right = np.array([vocab[b] for _, b in merges], dtype=np.int64)
         self.made = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
