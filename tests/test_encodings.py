@@ -123,6 +123,10 @@ def test_both_encoders_agree(spark):
     native = [bytes(r[0]) for r in df.select(avro.encode_column(df.schema, cols)).collect()]
     staged = [bytes(r["value"]) for r in avro.encode_rows(df, "t", cols).collect()]
     assert native == staged
+    whole = spark.createDataFrame([ROW, (None,) * len(ROW), (False, float("-inf"), 0.1, *ROW[3:])], ALL)
+    mixed = avro.encode_table(whole, "t", keep=["d", "t"]).collect()
+    assert [bytes(r["value"]) for r in mixed] == [bytes(r["value"]) for r in avro.encode_rows(whole, "t", ALL.names).collect()]
+    assert [r["d"] for r in mixed] == [-2.25, None, 0.1]
     schema = wire.row_schema("t", part)
     assert avro.decode_whole(schema, native[0])["ts"] == dict(year=2014, month=12, day=27, hour=17, minute=40, second=15, micro=123456)
 

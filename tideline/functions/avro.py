@@ -1,8 +1,8 @@
 """Binary record encoding: zig-zag varints, little-endian floats, length-prefixed bytes, union indexes.
 
-Two encoders give the same bytes. Columns without floating-point members are encoded by SQL
-functions alone (:func:`encode_column`); others go through one Arrow stage
-(:func:`encode_rows`), as SQL has no access to the bits of a double.
+Two encoders give the same bytes. :func:`encode_table` uses SQL functions for all types but floating
+point, whose bits SQL has no access to; one Arrow stage turns such columns into byte strings, whole
+columns at a time. :func:`encode_rows` encodes row by row in Python and also takes infinite dates.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -240,15 +241,22 @@ def decode_frame(data: bytes) -> list[tuple[int, dict[str, Any]]]:
 # ---------------------------------------------------------------- SQL columns
 
 
-def varint_column(value: Column) -> Column:
-    """Zig-zag varint of an integer column, from shifts and byte strings."""
+#: Bytes that the varint of a part of a date or time can need.
+PART_BYTES = {"year": 3, "month": 1, "day": 1, "hour": 1, "minute": 1, "second": 1, "micro": 3, "zoneOffset": 3}
+
+
+def varint_column(value: Column, most: int = 10) -> Column:
+    """Zig-zag varint of an integer column, from shifts and byte strings.
+
+    ``most`` is the number of bytes that the largest value needs; it keeps generated code short.
+    """
     x = value.cast("long")
     zig = F.shiftleft(x, 1).bitwiseXOR(F.shiftright(x, 63))
     out = []
-    for k in range(10):
+    for k in range(most):
         rest = F.shiftrightunsigned(zig, 7 * k) if k else zig
         chunk = rest.bitwiseAND(F.lit(0x7F))
-        if k < 9:
+        if k < most - 1:
             chunk = F.when(F.shiftrightunsigned(zig, 7 * (k + 1)) != 0, chunk + 128).otherwise(chunk)
         byte = F.lpad(F.hex(chunk), 2, "0")
         out.append(byte if not k else F.when(rest != 0, byte).otherwise(F.lit("")))
@@ -256,29 +264,55 @@ def varint_column(value: Column) -> Column:
 
 
 def _prefixed(raw: Column) -> Column:
-    return F.concat(varint_column(F.octet_length(raw)), raw)
+    return F.concat(varint_column(F.octet_length(raw), 5), raw)
 
 
 def _value_column(col: Column, kind: str) -> Column:
     if kind == "boolean":
         return F.when(col, F.lit(b"\x01")).otherwise(F.lit(b"\x00"))
     if kind in ("int", "long"):
-        return varint_column(col)
+        return varint_column(col, 5 if kind == "int" else 10)
     if kind == "bytes":
         return _prefixed(col)
     if kind == "string":
         return _prefixed(col.cast("string").cast("binary"))
+    if kind in ("float", "double"):
+        return col  # already its bytes: see with_float_bytes
     parts = {"Date": date_parts, "DateTime": timestamp_parts, "DateTimeTZ": lambda c: timestamp_parts(c, F.lit(0))}[kind](col)
-    return F.concat(*[varint_column(parts[f]) for f in NAMED[kind]])
+    return F.concat(*[varint_column(parts[f], PART_BYTES[f]) for f in NAMED[kind]])
+
 
+def with_float_bytes(df: DataFrame, columns: list[str], decimals: str = "double") -> DataFrame:
+    """``df`` with its floating-point ``columns`` (and decimals sent as doubles) as little-endian byte strings."""
+    kinds = {c: k for c in columns if (k := wire_kind(df.schema[c].dataType, decimals)) in ("float", "double")}
+    if not kinds:
+        return df
+    cast = df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+    result = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name in kinds else f for f in cast.schema.fields])
+    width = {"float": ("<f4", 4), "double": ("<f8", 8)}
 
-def needs_rows(schema: T.StructType, decimals: str = "double") -> bool:
-    """True if a column's bytes are out of reach of SQL functions."""
-    return any(wire_kind(f.dataType, decimals) in ("float", "double") for f in schema.fields)
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name in batch.schema.names:
+                column = batch.column(name)
+                if name in kinds:
+                    dtype, size = width[kinds[name]]
+                    raw = pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False).astype(dtype).tobytes()
+                    fixed = pa.Array.from_buffers(pa.binary(size), len(column), [None, pa.py_buffer(raw)])
+                    column = pc.if_else(pc.is_valid(column), fixed.cast(pa.binary()), pa.scalar(None, pa.binary()))
+                out.append(column)
+            yield pa.RecordBatch.from_arrays(out, batch.schema.names)
+
+    return cast.mapInArrow(stage, result)
 
 
 def encode_column(df_schema: T.StructType, columns: list[str], decimals: str = "double") -> Column:
-    """Encoded record of ``columns`` as a binary column; no floating-point columns."""
+    """Encoded record of ``columns`` as a binary column.
+
+    ``df_schema`` gives the columns' own types; floating-point ones must have been
+    turned into bytes by :func:`with_float_bytes`.
+    """
     if not columns:
         return F.lit(b"\x00")  # the dummy field, null
     out = []
@@ -345,12 +379,13 @@ def encode_table(
     df: DataFrame, table: str, columns: list[str] | None = None, out: str = "value", namespace: str = "public",
     decimals: str = "double", keep: list[str] | None = None,
 ) -> DataFrame:
-    """Encode rows with SQL functions where possible, else in one Arrow stage."""
+    """``keep`` columns of ``df`` and the encoded record of ``columns`` (all if None) in column ``out``."""
     columns = df.columns if columns is None else columns
     keep = [] if keep is None else keep
-    if needs_rows(T.StructType([df.schema[c] for c in columns]), decimals):
-        return encode_rows(df, table, columns, out, namespace, decimals, keep)
-    return df.select(*[F.col(f"`{c}`") for c in keep], encode_column(df.schema, columns, decimals).alias(out))
+    kept = [F.col(f"`{c}`").alias(f"__keep{i}") for i, c in enumerate(keep)]
+    ready = with_float_bytes(df.select(*kept, *[F.col(f"`{c}`") for c in columns]), columns, decimals)
+    record = encode_column(df.schema, columns, decimals).alias(out)
+    return ready.select(*[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)], record)
 
 
 def decode_rows(df: DataFrame, schema: dict[str, Any], result: T.StructType, column: str = "value") -> DataFrame:
