@@ -19,9 +19,9 @@ once. *Links* are found over distinct fingerprints only:
 
 Two operators use the index. :func:`near_duplicates` links 64-bit fingerprints of word shingles.
 :func:`similar_documents` is for similarity thresholds such as 0.8 on five-word shingles, at which
-64 bits of shingles differ in about ten places: there the index is over the fingerprint of the
-distinct words, which moves far less, and a link also needs the 256-bit fingerprint of the distinct
-shingles to be as close as the threshold asks.
+64 bits of shingles differ in about ten places, beyond the reach of the index. It finds all pairs:
+similar sets share one of their rarest shingles, which groups the documents, and within
+a group the sets themselves are compared.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import drop, materialise, text_or_empty, without
@@ -47,7 +47,13 @@ SPLIT_ROWS = 131_072
 MAX_DEPTH = 6
 LEAF = 32
 LANES = 4
-WORD_DISTANCE = 7
+#: Text bytes whose shingle sets one step makes; shingles of a part of a large group; rows of a group that all its parts see.
+SET_BYTES = 1 << 20
+PART_SHINGLES = 1_000_000
+HUBS = 8
+SET = "__tl_group long, __tl_row long, __tl_v long, __tl_n long, __tl_set binary"
+SET_NAMES = ["__tl_group", "__tl_row", "__tl_v", "__tl_n", "__tl_set"]
+LINK = "a long, b long, u long, v long"
 #: Standard deviations of the wide fingerprint's estimate that a link may fall short by.
 SLACK = 1.0
 ITEM = "__tl_fp long, __tl_v long, __tl_wide binary"
@@ -195,21 +201,8 @@ def link_node(
     return out
 
 
-def _link_nodes(distance: int, wide_distance: int):
-    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) of linked items."""
-
-    def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        node = pa.Table.from_batches(parts).combine_chunks()
-        wide = None
-        if wide_distance:
-            raw = b"".join(node.column("__tl_wide").to_pylist())
-            wide = np.frombuffer(raw, dtype=np.uint64).reshape(node.num_rows, -1)
-        pairs = link_node(node.column("__tl_fp").to_numpy().view(np.uint64), distance, wide, wide_distance)
-        if not pairs:
-            return None
-        i, j = np.array(pairs).T
-        ids = node.column("__tl_v").to_numpy()
-        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["u", "v"])
+def by_path(emit):
+    """Arrow stage that calls ``emit`` with the batches of each run of equal ``__tl_path``."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_path, parts = None, []
@@ -230,6 +223,25 @@ def _link_nodes(distance: int, wide_distance: int):
     return stage
 
 
+def _link_nodes(distance: int, wide_distance: int):
+    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) of linked items."""
+
+    def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        node = pa.Table.from_batches(parts).combine_chunks()
+        wide = None
+        if wide_distance:
+            raw = b"".join(node.column("__tl_wide").to_pylist())
+            wide = np.frombuffer(raw, dtype=np.uint64).reshape(node.num_rows, -1)
+        pairs = link_node(node.column("__tl_fp").to_numpy().view(np.uint64), distance, wide, wide_distance)
+        if not pairs:
+            return None
+        i, j = np.array(pairs).T
+        ids = node.column("__tl_v").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["u", "v"])
+
+    return by_path(emit)
+
+
 def links(
     items: DataFrame,
     distance: int = MAX_DISTANCE,
@@ -337,44 +349,165 @@ def wide_cut(similarity: float, bits: int = 64 * LANES, slack: float = SLACK) ->
     return int(bits * p + slack * math.sqrt(bits * p * (1 - p)))
 
 
-def _sketches(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def _shingle_sets(words: int, exploded: bool):
+    """Distinct shingle hashes of each row, ascending; texts without words have the one shingle 0.
+
+    ``exploded``: a row for each shingle with the row's number of shingles, else one row with all.
+    """
+
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in batches_by_bytes(batch, "text"):
-                buf, starts, ends, first = clean_words(part.column("text"), FOLD_AZ)
-                single = wide_prints(*shingle_hashes(buf, starts, ends, first, 1), 1)[:, 0]
-                wide = wide_prints(*shingle_hashes(buf, starts, ends, first, words))
-                width = wide.shape[1] * 8
-                data = wide.tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(single.view(np.int64)), pa.array([data[k : k + width] for k in range(0, len(data), width)], pa.binary())],
-                    ["__tl_v", "__tl_fp", "__tl_wide"],
-                )
+            for part in batches_by_bytes(batch, "text", SET_BYTES):
+                hashes, counts = shingle_hashes(*clean_words(part.column("text"), FOLD_AZ), words)
+                at = np.concatenate(([0], np.cumsum(counts)))
+                sets = [np.unique(hashes[a:z]) if z > a else np.zeros(1, np.uint64) for a, z in zip(at, at[1:])]
+                sizes = np.array([len(x) for x in sets])
+                if not exploded:
+                    data = pa.array([x.tobytes() for x in sets], pa.binary())
+                    kept = [part.column(k) for k in ("__tl_group", "__tl_row", "__tl_v")]
+                    yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes), data], SET_NAMES)
+                    continue
+                row = np.repeat(part.column("__tl_row").to_numpy(), sizes)
+                flat, sizes = np.concatenate(sets).view(np.int64), np.repeat(sizes, sizes)
+                for k in range(0, len(row), 65_536):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x[k : k + 65_536]) for x in (flat, row, sizes)], ["__tl_token", "__tl_row", "__tl_n"]
+                    )
+
+    return stage
+
+
+def _groups(rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``(node, component)``: groups of ``rows(__tl_row, text)`` such that similar rows share a group.
+
+    In one order of all shingles, two sets of similarity s share a shingle among the first
+    n - ceil(s * n) + 1 of each (n its size). The order here is by document frequency, so shingles
+    of one row only come first, and a row that has enough of those is like no other.
+    """
+    tokens = rows.select("__tl_row", "text").mapInArrow(_shingle_sets(words, True), "__tl_token long, __tl_row long, __tl_n long")
+    shared = tokens.withColumn("__tl_df", F.count("*").over(Window.partitionBy("__tl_token"))).filter("__tl_df > 1")
+    own = Window.partitionBy("__tl_row")
+    shared = shared.withColumn("__tl_k", F.count("*").over(own))
+    first = F.col("__tl_n") - F.ceil(similarity * F.col("__tl_n") - 1e-9) + 1
+    shared = shared.filter(F.col("__tl_k") > F.col("__tl_n") - first)
+    shared = shared.withColumn("__tl_at", F.row_number().over(own.orderBy("__tl_df", "__tl_token")))
+    heads = shared.filter(F.col("__tl_at") <= first - F.col("__tl_n") + F.col("__tl_k")).select("__tl_token", "__tl_row")
+    least = F.min("__tl_row").over(Window.partitionBy("__tl_token"))
+    edges = materialise(heads.select(F.col("__tl_row").alias("u"), least.alias("v")).filter("u <> v").distinct(), "heads")
+    return components(edges)
+
+
+def link_sets(sets: list[np.ndarray], similarity: float, left: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of Jaccard similarity ``similarity`` or more, as index pairs.
+
+    Sets are distinct values; ``left`` marks those of which a pair must have one (default: all).
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    order = np.argsort(sizes, kind="stable")
+    sizes = sizes[order]
+    heads = np.concatenate(([0], np.cumsum(sizes)))
+    values, flat = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+    marked = np.zeros(len(values), np.int64)
+    left = np.ones(n, bool) if left is None else left[order]
+    label, out = np.arange(n), []
+    for i in range(n - 1):
+        # Larger sets of other trees that are small enough for the similarity.
+        stop = int(np.searchsorted(sizes, sizes[i] / similarity + 1e-6, side="right"))
+        rest = np.arange(i + 1, stop)
+        rest = rest[(label[rest] != label[i]) & (left[rest] | left[i])]
+        if not len(rest):
+            continue
+        counts = sizes[rest]
+        starts = np.cumsum(counts) - counts
+        marked[flat[heads[i] : heads[i + 1]]] = 1
+        both = np.add.reduceat(marked[flat[np.arange(counts.sum()) + np.repeat(heads[rest] - starts, counts)]], starts)
+        marked[flat[heads[i] : heads[i + 1]]] = 0
+        for j in rest[both >= similarity * (sizes[i] + counts - both) - 1e-9].tolist():
+            if label[i] != label[j]:
+                label[label == label[j]] = label[i]
+                out.append((int(order[i]), int(order[j])))
+    return out
+
 
-    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    return slim.mapInArrow(stage, "__tl_v long, __tl_fp long, __tl_wide binary")
+def _link_sets(similarity: float):
+    """Tasks arrive sorted by name; emits (u, v) of linked rows."""
+
+    def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
+        task = pa.Table.from_batches(parts).combine_chunks()
+        sets = [np.frombuffer(x, np.uint64) for x in task.column("__tl_set").to_pylist()]
+        pairs = link_sets(sets, similarity, task.column("__tl_left").to_numpy())
+        if not pairs:
+            return None
+        i, j = np.array(pairs).T
+        rows, ids = task.column("__tl_row").to_numpy(), task.column("__tl_v").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (rows[i], rows[j], ids[i], ids[j])], ["a", "b", "u", "v"])
+
+    return by_path(emit)
 
 
 def similar_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    part_shingles: int = PART_SHINGLES,
 ) -> DataFrame:
     """``(doc id, component_id)`` of every document that has a similar one, itself and its class's smallest id.
 
-    Links: at most ``WORD_DISTANCE`` differing bits between fingerprints of distinct words, and an
-    estimated Jaccard similarity of ``words``-word shingle sets of at least ``similarity`` (256-bit
-    estimate, ``SLACK`` standard deviations in favour of linking). Components are transitive.
+    Links: Jaccard similarity of the ``words``-word shingle sets of at least ``similarity``, exact but
+    for collisions of 64-bit hashes; no similar pair is missed. Components are transitive.
     Ids are whole numbers; rows with one id are one document; rows with null ids are in no
     class. Texts without words are all alike. Empty tables give empty results.
+
+    Groups of more than ``part_shingles`` shingles are dealt into parts. Each part is linked with the
+    group's first rows; after that only rows outside the group's largest class meet all parts.
     """
-    sketches = _sketches(docs, id_col, text_col, words)
-    # Documents of one sketch are linked through the smallest, before the index.
-    grouped = materialise(sketches, "sketches")
-    items = materialise(grouped.groupBy("__tl_fp", "__tl_wide").agg(F.min("__tl_v").alias("__tl_v")), "items")
-    same = grouped.join(items.withColumnRenamed("__tl_v", "__tl_first"), ["__tl_fp", "__tl_wide"])
-    same = same.filter("__tl_v <> __tl_first").select(F.col("__tl_v").alias("u"), F.col("__tl_first").alias("v"))
-    found = links(items.select("__tl_fp", "__tl_v", "__tl_wide"), WORD_DISTANCE, wide_cut(similarity))
-    edges = materialise(found.unionAll(same), "links")
-    return components(edges).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
+    slim = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("__tl_v"), text_or_empty(text_col).alias("text"))
+    rows = slim.withColumn("__tl_row", F.xxhash64("__tl_v", "text"))
+    groups = _groups(rows, words, similarity).select(F.col("node").alias("__tl_row"), F.col("component").alias("__tl_group"))
+    grouped = rows.join(groups, "__tl_row").select("__tl_group", "__tl_row", "__tl_v", "text").distinct()
+    sets = materialise(grouped.mapInArrow(_shingle_sets(words, False), SET), "sets")
+    sized = sets.groupBy("__tl_group").agg(F.ceil(F.sum("__tl_n") / part_shingles).cast("int").alias("__tl_parts"))
+    sets = sets.join(sized, "__tl_group").withColumn("__tl_part", F.pmod(F.xxhash64("__tl_row"), F.col("__tl_parts")).cast("int"))
+    name = lambda *parts: F.concat_ws("/", F.col("__tl_group").cast("string"), *[p.cast("string") for p in parts])
+
+    def linked(tasks: DataFrame) -> DataFrame:
+        tasks = tasks.select("__tl_path", "__tl_left", "__tl_row", "__tl_v", "__tl_set")
+        return tasks.repartition("__tl_path").sortWithinPartitions("__tl_path").mapInArrow(_link_sets(similarity), LINK)
+
+    every = F.sequence(F.lit(0), F.col("__tl_parts") - 1)
+    within = sets.withColumn("__tl_path", name(F.col("__tl_part"))).withColumn("__tl_left", F.lit(True))
+    large = sets.filter("__tl_parts > 1")
+    hubs = large.select("__tl_group", "__tl_row").withColumn("__tl_r", F.row_number().over(Window.partitionBy("__tl_group").orderBy("__tl_row")))
+    hubs = hubs.filter(F.col("__tl_r") <= HUBS).select("__tl_group", "__tl_row")
+    sent = large.join(hubs, ["__tl_group", "__tl_row"]).withColumn("__tl_to", F.explode(every)).filter("__tl_to <> __tl_part")
+    sent = sent.withColumn("__tl_path", name(F.col("__tl_to"))).withColumn("__tl_left", F.lit(True)).drop("__tl_to")
+    edges = materialise(linked(within.unionByName(sent)), "links")
+    if not large.isEmpty():
+        edges = edges.unionAll(_across(large, edges, name, linked, part_shingles))
+    return components(edges.select("u", "v")).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
+
+
+def _across(large: DataFrame, edges: DataFrame, name, linked, part_shingles: int) -> DataFrame:
+    """Links of rows outside their group's largest class with all rows of the group."""
+    classes = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    classed = large.select("__tl_group", "__tl_row", "__tl_n").join(classes.withColumnRenamed("node", "__tl_row"), "__tl_row", "left")
+    classed = classed.withColumn("component", F.coalesce("component", "__tl_row"))
+    sizes = classed.groupBy("__tl_group", "component").agg(F.sum("__tl_n").alias("n"))
+    most = sizes.groupBy("__tl_group").agg(F.max_by("component", F.struct("n", "component")).alias("__tl_most"))
+    out = materialise(classed.join(most, "__tl_group").filter("component <> __tl_most").select("__tl_group", "__tl_row", "__tl_n"), "others")
+    counts = out.groupBy("__tl_group").agg(F.ceil(F.sum("__tl_n") / part_shingles).cast("int").alias("__tl_outs"))
+    out = out.select("__tl_row", F.lit(True).alias("__tl_left"))
+    every = large.join(counts, "__tl_group").join(out, "__tl_row", "left").withColumn("__tl_left", F.coalesce("__tl_left", F.lit(False)))
+    mine = F.pmod(F.xxhash64("__tl_row", F.lit("out")), F.col("__tl_outs")).cast("int")
+    parts, outs = F.sequence(F.lit(0), F.col("__tl_parts") - 1), F.sequence(F.lit(0), F.col("__tl_outs") - 1)
+    # Rows outside go to all parts as the left side of their share, all rows to all shares as the right one.
+    a = every.filter("__tl_left").withColumn("__tl_to", F.explode(parts)).withColumn("__tl_path", name(F.col("__tl_to"), mine))
+    b = every.withColumn("__tl_to", F.explode(outs)).filter(~F.col("__tl_left") | (F.col("__tl_to") != mine))
+    b = b.withColumn("__tl_path", name(F.col("__tl_part"), F.col("__tl_to"))).withColumn("__tl_left", F.lit(False))
+    return materialise(linked(a.unionByName(b)), "across")
 
 
 def drop_similar(
