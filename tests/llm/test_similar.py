@@ -3,6 +3,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from tideline.llm.simhash import similar_documents
 
@@ -70,3 +71,37 @@ def test_no_similar_pair_is_missed(spark):
     want, got = brute_classes(docs), found(spark, docs)
     missed = [d for d in want if got.get(d) != want[d]]
     assert len(want) >= 200 and not missed, f"{len(missed)} of {len(want)}"
+
+
+def test_nothing_below_the_threshold_is_linked(spark):
+    docs = pairs()
+    want = brute_classes(docs)
+    wrong = set(found(spark, docs)) - set(want)
+    assert len(docs) - len(want) >= 20 and not wrong, f"{len(wrong)} of {len(docs) - len(want)}"
+
+
+@pytest.mark.parametrize("part", [10**6, 2000])
+def test_large_groups_in_parts(spark, part):
+    """Chains, near copies of one text and of its copies, whether or not they are in one part."""
+    rng = np.random.default_rng(5)
+    hub = [WORDS[i] for i in rng.integers(0, 4000, 200)]
+    docs = {10 * k: near_copy(rng, hub, "edited", rng.uniform(0.05, 0.4)) for k in range(60)}
+    for k in range(30):
+        docs[10 * k + 1] = near_copy(rng, docs[10 * k], ("appended", "cut", "edited")[k % 3], rng.uniform(0.05, 0.3))
+    want = brute_classes(docs)
+    assert len(want) > 20 and found(spark, docs, part_shingles=part) == want
+
+
+def test_dropped_documents_have_a_partner(spark):
+    """Of the given documents, those dropped have a partner at 0.8, and no pair at 0.8 stays whole."""
+    import corpus_pipeline
+    from tests.llm.test_llm_queries import similar_pairs
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").dropDuplicates(["text"]).orderBy("doc_id").toPandas()
+    texts = dict(zip(docs["doc_id"], docs["text"].fillna("")))
+    near = dict(corpus_pipeline.STAGES)["near_dedup"]
+    kept = {r["doc_id"] for r in near(spark, spark.createDataFrame(docs), sf).select("doc_id").collect()}
+    close = [p for p, s in similar_pairs(texts).items() if s >= 0.8]
+    assert close and not [p for p in close if p[0] in kept and p[1] in kept]
+    assert set(texts) - kept <= {d for p in close for d in p}
