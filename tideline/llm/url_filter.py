@@ -5,7 +5,8 @@ a chain of beta-binomial priors: all pages -> public suffix -> registered domain
 host. At each level the prior's mean is the posterior mean of the level above, and
 its strength (pseudo-count) is estimated from the data of that level by the method
 of moments. A host is blocked if the lower bound of its posterior exceeds a limit,
-so little evidence never blocks. Explicit rules go before reputation.
+so little evidence never blocks. A host without labelled pages has its domain's posterior mean
+as its own (else its suffix's, else the overall one) with no trials. Explicit rules go before reputation.
 """
 
 from __future__ import annotations
@@ -75,12 +76,13 @@ def _posterior(level: DataFrame) -> DataFrame:
     return level.withColumn("m", F.lit(m)).withColumn("q", (F.col("p") * m + F.col("y")) / (m + F.col("n")))
 
 
-def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
-    """Posterior of every labelled host.
+def host_reputation(outcomes: DataFrame, z: float = Z, hosts_too: DataFrame | None = None) -> DataFrame:
+    """Posterior of every labelled host, and of the other hosts of ``hosts_too(host)`` if given.
 
     ``outcomes(host, bad)`` holds one row per labelled page, ``bad`` 0 or 1. Returns
     ``host, labelled_pages, posterior_mean, posterior_low``; the bound is the mean less
-    ``z`` posterior standard deviations. Rows with null bad do not count.
+    ``z`` posterior standard deviations. Rows with null bad do not count. Hosts that are not
+    labelled get the prior of a new host, with 0 labelled pages; without any outcome none gets one.
     """
     hosts = (
         outcomes.filter(F.col("bad").isNotNull())
@@ -93,10 +95,19 @@ def host_reputation(outcomes: DataFrame, z: float = Z) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     # Everything starts from a uniform Beta(1, 1) over the overall rate.
     overall = hosts.agg(F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"), F.coalesce(F.sum("n"), F.lit(0.0)).alias("n")).first()
-    by_suffix = _posterior(suffixes.withColumn("p", F.lit((overall["y"] + 1) / (overall["n"] + 2))))
+    rate = F.lit((overall["y"] + 1) / (overall["n"] + 2))
+    by_suffix = _posterior(suffixes.withColumn("p", rate))
     by_suffix = by_suffix.select("suffix", F.col("q").alias("p"))
     by_domain = _posterior(domains.join(by_suffix, "suffix")).select("suffix", "domain", F.col("q").alias("p"))
     scored = _posterior(hosts.join(by_domain, ["suffix", "domain"]))
+    if hosts_too is not None and overall["n"]:
+        m = scored.select("m").first()["m"]
+        new = hosts_too.select("host").distinct().join(hosts, "host", "left_anti")
+        new = new.select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+        new = new.join(by_domain.withColumnRenamed("p", "dp"), ["suffix", "domain"], "left")
+        new = new.join(by_suffix.withColumnRenamed("p", "sp"), "suffix", "left")
+        new = new.select("host", F.lit(0.0).alias("n"), F.coalesce("dp", "sp", rate).alias("q"), F.lit(m).alias("m"))
+        scored = scored.select("host", "n", "q", "m").unionByName(new)
     spread = F.sqrt(F.col("q") * (1 - F.col("q")) / (F.col("m") + F.col("n") + 1))
     return scored.select(
         "host",
@@ -120,7 +131,7 @@ def judge(
     ``outcomes(id_col, bad)`` labels some pages (several labels of one page all count).
     Null or scheme-less urls have empty host and path; the empty host is
     allowed unless a rule fits, as nothing can be known of it. Hosts without
-    labelled pages are allowed. Input columns with the names of added ones are replaced,
+    labelled pages are judged by their domain, else their suffix, else all pages. Input columns with the names of added ones are replaced,
     except ``url_col``.
     """
     keep = [c for c in ADDED if c != url_col]
@@ -128,7 +139,7 @@ def judge(
     labelled = judged.select(F.col(id_col), "host").filter("host <> ''").join(
         outcomes.select(F.col(id_col).alias("__tl_id"), "bad"), F.col(id_col) == F.col("__tl_id")
     )
-    rated = host_reputation(labelled.select("host", "bad"), z).withColumnRenamed("host", "__tl_host")
+    rated = host_reputation(labelled.select("host", "bad"), z, judged.filter("host <> ''")).withColumnRenamed("host", "__tl_host")
     rule, action = rule_columns(F.col("host"), F.col("path"), rules)
     out = judged.join(rated, F.col("host") == F.col("__tl_host"), "left").drop("__tl_host")
     blocked = F.coalesce(F.col("posterior_low") > block_above, F.lit(False))
