@@ -2,8 +2,8 @@
 
 1. *Pivots* are a bounded sample of the data. Every row goes to the cell of its
    nearest pivot and keeps its distance to it.
-2. *Summaries.* Each cell lists its row count and the distances of its k nearest rows to
-   the pivot. For a query q, a row x of cell j scores at least q.p_j - |q| d(x, p_j) and at
+2. *Summaries.* Each cell lists its row count and the distances of its k + 1 nearest rows to
+   the pivot, one row of each id. For a query q, a row x of cell j scores at least q.p_j - |q| d(x, p_j) and at
    most q.p_j + |q| d(x, p_j) (Cauchy-Schwarz). The k-th best lower bound over all
    cells' summaries bounds the k-th best score from below.
 3. *Tightening.* Queries are grouped by cell, in blocks of bounded size. Each block is
@@ -232,8 +232,10 @@ def search(
     n = cells.count()
 
     ranked = Window.partitionBy("cell").orderBy("dist", "id")
+    # One row of each id, as a query may return none of the rows that repeat its own.
+    once = cells.groupBy("id").agg(F.min(F.struct("dist", "cell")).alias("s")).select("id", "s.dist", "s.cell")
     summary = (
-        cells.select("cell", "dist", "id").withColumn("r", F.row_number().over(ranked)).filter(F.col("r") <= k + 1)
+        once.withColumn("r", F.row_number().over(ranked)).filter(F.col("r") <= k + 1)
         .groupBy("cell").agg(F.sort_array(F.collect_list("dist")).alias("near")).collect()
     )
     nearest = [(r["cell"], np.array(r["near"])) for r in summary]
