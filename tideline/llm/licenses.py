@@ -1,12 +1,16 @@
 """Licence scanning by sentence rules (native DataFrame operations only).
 
 1. Text is cut into sentences, which are normalised: lower case, all but letters and
-   digits to single spaces.
+   digits to single spaces. Licence texts are wrapped and stand in comments, so marks that
+   begin a line are taken off and a line end inside a paragraph is a space. Where a
+   line begins or ends with a known sentence, the line end also counts as a
+   possible sentence end.
 2. Each normalised sentence that is a known licence sentence becomes its identifier;
    other sentences that speak of licences become UNKNOWN; the rest disappear.
 3. The identifier sequence of a document is matched against ordered rules. A rule
    is a sequence of identifiers; where it occurs its identifiers are used up, so a
-   full licence text is not reported again by the shorter rules after it.
+   full licence text is not reported again by the shorter rules after it. What was
+   left and right of a match does not become neighbours.
 """
 
 from __future__ import annotations
@@ -27,7 +31,10 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "released under the apache license version 2 0",
     ),
     "ApacheNoUse": ("you may not use this file except in compliance with the license",),
-    "ApacheCopy": ("you may obtain a copy of the license at http www apache org licenses license 2 0",),
+    "ApacheCopy": ("you may obtain a copy of the license at http www apache org licenses license 2 0", "you may obtain a copy of the license at https www apache org licenses license 2 0"),
+    "CopyAt": ("you may obtain a copy of the license at",),
+    "ApacheURL": ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0"),
+    "ApacheSee": ("see the license for the specific language governing permissions and limitations under the license",),
     "ApacheBasis": (
         "unless required by applicable law or agreed to in writing software distributed under the license is "
         "distributed on an as is basis without warranties or conditions of any kind either express or implied",
@@ -53,6 +60,17 @@ SENTENCES: dict[str, tuple[str, ...]] = {
         "the software is provided as is without warranty of any kind express or implied including but not limited to "
         "the warranties of merchantability fitness for a particular purpose and noninfringement",
     ),
+    "MITLiability": (
+        "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether "
+        "in an action of contract tort or otherwise arising from out of or in connection with the software or the use "
+        "or other dealings in the software",
+    ),
+    "ISCGrant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+        "granted provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "UnlicenseGift": ("this is free and unencumbered software released into the public domain",),
+    "BoostRef": ("distributed under the boost software license version 1 0", "boost software license version 1 0"),
     "GPL3Ref": (
         "this work is licensed under the gnu general public license version 3",
         "licensed under the gnu general public license version 3",
@@ -64,6 +82,14 @@ SENTENCES: dict[str, tuple[str, ...]] = {
     ),
     "GPLFree": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
     "GPLHope": ("this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",),
+    "GPL2Free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",),
+    "LGPL3Free": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
+    "LGPL21Free": ("this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",),
+    "AGPL3Free": ("this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",),
+    "GPLWithout": ("this program is distributed in the hope that it will be useful but without any warranty", "this library is distributed in the hope that it will be useful but without any warranty"),
+    "GPLImplied": ("without even the implied warranty of merchantability or fitness for a particular purpose",),
+    "GPLSee": ("see the gnu general public license for more details", "see the gnu lesser general public license for more details", "see the gnu affero general public license for more details"),
+    "GPLCopy": ("you should have received a copy of the gnu general public license along with this program", "you should have received a copy of the gnu affero general public license along with this program"),
     "BSDRedist": ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",),
     "BSDSource": ("redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",),
     "BSDBinary": ("redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",),
@@ -79,15 +105,33 @@ SENTENCES: dict[str, tuple[str, ...]] = {
 # Rules in order of precedence; the first match uses its sentences up.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Apache-2.0", ("ApacheRef", "ApacheNoUse", "ApacheCopy", "ApacheBasis")),
+    ("Apache-2.0", ("ApacheRef", "ApacheNoUse", "CopyAt", "ApacheURL", "ApacheBasis", "ApacheSee")),
+    ("Apache-2.0", ("ApacheRef", "ApacheNoUse", "CopyAt", "ApacheURL", "ApacheBasis")),
     ("Apache-2.0", ("ApacheRef", "ApacheNoUse")),
+    ("MIT", ("MITGrant", "MITNotice", "AsIs", "MITLiability")),
     ("MIT", ("MITGrant", "MITNotice", "AsIs")),
     ("MIT", ("MITGrant", "MITNotice")),
     ("BSD-3-Clause", ("BSDRedist", "BSDSource", "BSDBinary", "BSDNames")),
     ("BSD-2-Clause", ("BSDRedist", "BSDSource", "BSDBinary")),
+    ("GPL-3.0-or-later", ("GPLFree", "GPLWithout", "GPLImplied", "GPLSee", "GPLCopy")),
+    ("GPL-3.0-or-later", ("GPLFree", "GPLWithout", "GPLImplied")),
+    ("GPL-2.0-or-later", ("GPL2Free", "GPLWithout", "GPLImplied", "GPLSee", "GPLCopy")),
+    ("GPL-2.0-or-later", ("GPL2Free", "GPLWithout", "GPLImplied")),
+    ("AGPL-3.0-or-later", ("AGPL3Free", "GPLWithout", "GPLImplied", "GPLSee", "GPLCopy")),
+    ("AGPL-3.0-or-later", ("AGPL3Free", "GPLWithout", "GPLImplied")),
+    ("LGPL-3.0-or-later", ("LGPL3Free", "GPLWithout", "GPLImplied")),
+    ("LGPL-2.1-or-later", ("LGPL21Free", "GPLWithout", "GPLImplied")),
     ("GPL-3.0-or-later", ("GPLFree", "GPLHope")),
     ("GPL-3.0-or-later", ("GPLFree",)),
+    ("GPL-2.0-or-later", ("GPL2Free",)),
+    ("AGPL-3.0-or-later", ("AGPL3Free",)),
+    ("LGPL-3.0-or-later", ("LGPL3Free",)),
+    ("LGPL-2.1-or-later", ("LGPL21Free",)),
+    ("ISC", ("ISCGrant",)),
+    ("Unlicense", ("UnlicenseGift",)),
     ("Apache-2.0", ("ApacheRef",)),
     ("MIT", ("MITRef",)),
+    ("BSL-1.0", ("BoostRef",)),
     ("GPL-3.0-only", ("GPL3Ref",)),
     ("GPL-2.0-only", ("GPL2Ref",)),
     ("MPL-2.0", ("MPL2Ref",)),
@@ -99,42 +143,79 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 #: A sentence with one of these that is not known is UNKNOWN.
 KEYWORDS = ("license", "licence", "licensed", "copyright", "warranty", "redistribution")
 UNKNOWN = "UNKNOWN"
-#: Sentences end at . ! ? or ; before white space, and at every line end.
-BREAK = r"(?<=[.!?;])\s+|\n"
-ODD = r"[^a-z0-9\x01]+"
+#: Patterns that mean the same to both engines: comment marks and bullets at the start of a line, a
+#: version after "v.", sentence ends, and what normalising turns into a space. \x01 ends a sentence, \x02 may.
+SPACE = r"[ \t\n\x0b\f\r]"
+MARKS = r"(^|\n)[ \t]*[#*;%/!>|-]+[ \t]*"
+VERSION = rf"\bv\.{SPACE}+([0-9])"
+STOP = rf"([.!?;]){SPACE}+"
+PARAGRAPH = r"\n[ \t\r]*\n"
+ITEM = r":[ \t\r]*\n[ \t]*([(0-9])"
+ODD = r"[^a-z0-9]+"
+
+
+def _plain(some: Column) -> Column:
+    return F.trim(F.regexp_replace(some, ODD, " "))
+
+
+def _table(known: Mapping[str, Sequence[str]]) -> Column:
+    return F.create_map(*[F.lit(x) for name, forms in known.items() for form in forms for x in (form, name)])
+
+
+def folded(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\u0001\u0002", "abcdefghijklmnopqrstuvwxyz  ")
+
+
+def sentences_of(text: Column, known: Mapping[str, Sequence[str]] = SENTENCES) -> Column:
+    """Normalised sentences of folded text; letters outside a-z act as spaces."""
+    table = _table(known)
+    bare = F.regexp_replace(text, MARKS, "$1")
+    bare = F.regexp_replace(bare, VERSION, "v $1")
+
+    def line(x: Column) -> Column:
+        parts = F.split(x, STOP)
+        first, last = _plain(parts[0]), _plain(F.element_at(parts, -1))
+        before = F.when(F.map_contains_key(table, first), F.lit("\u0002")).otherwise(F.lit(""))
+        after = F.when(F.map_contains_key(table, last), F.lit("\u0002")).otherwise(F.lit(""))
+        return F.concat(before, x, after)
+
+    bare = F.array_join(F.transform(F.split(bare, "\n"), line), "\n")
+    bare = F.regexp_replace(F.regexp_replace(bare, ITEM, "\u0001$1"), f"\u0002?{PARAGRAPH}", "\u0001")
+    whole = F.split(F.regexp_replace(bare, STOP, "\u0001"), "\u0001")
 
+    def pieces(x: Column) -> Column:
+        """The sentence itself if it is known across line ends, else what the line ends leave."""
+        alone = F.map_contains_key(table, _plain(x)) | ~F.contains(x, F.lit("\u0002"))
+        return F.when(alone, F.array(_plain(x))).otherwise(F.transform(F.split(x, "\u0002"), _plain))
 
-def sentences_of(text: Column) -> Column:
-    """Normalised sentences; A-Z are lower-cased, other letters act as spaces."""
-    folded = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ\u0001", "abcdefghijklmnopqrstuvwxyz ")
-    marked = F.regexp_replace(F.regexp_replace(folded, BREAK, "\u0001"), ODD, " ")
-    return F.transform(F.split(marked, "\u0001"), lambda s: F.trim(s))
+    return F.flatten(F.transform(whole, pieces))
 
 
-def identifiers_of(sentences: Column, known: Mapping[str, Sequence[str]], keywords: Sequence[str]) -> Column:
-    """Identifier of each licence sentence in order; others are left out."""
-    table = F.create_map(*[F.lit(x) for name, forms in known.items() for form in forms for x in (form, name)])
+def identifiers_of(text: Column, known: Mapping[str, Sequence[str]], keywords: Sequence[str]) -> Column:
+    """Identifier of each licence sentence of a text in order; others are left out."""
+    table = _table(known)
     speaks = r"\b(" + "|".join(keywords) + r")\b"
-    # The keyword test is the cheap one and decides for nearly all sentences.
     forms = {form for some in known.values() for form in some}
     marks = "|".join(sorted({*keywords, *(f.split()[0] for f in forms if not any(k in f.split() for k in keywords))}))
-    likely = F.filter(sentences, lambda s: s.rlike(r"\b(" + marks + r")\b"))
     named = F.transform(
-        likely, lambda s: F.coalesce(F.try_element_at(table, s), F.when(s.rlike(speaks), F.lit(UNKNOWN)))
+        F.filter(sentences_of(text, known), lambda s: s.rlike(r"\b(" + marks + r")\b")),
+        lambda s: F.coalesce(F.try_element_at(table, s), F.when(s.rlike(speaks), F.lit(UNKNOWN))),
     )
-    return F.filter(named, lambda x: x.isNotNull())
+    # Nearly all texts hold none of these words; only the others are cut into sentences.
+    return F.when(text.rlike(marks), F.filter(named, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def match_rules(identifiers: Column, rules: Sequence[tuple[str, Sequence[str]]]) -> tuple[Column, Column]:
     """(licences in rule order without repeats, identifiers no rule used)."""
     left = F.concat(F.lit(";"), F.array_join(identifiers, ";;"), F.lit(";"))
+    barrier = F.lit("|")
     found = []
     for licence, parts in rules:
         pattern = F.lit("".join(f";{p};" for p in parts))
         found.append(F.when(F.contains(left, pattern), F.lit(licence)))
-        left = F.replace(left, pattern, F.lit(""))
+        left = F.replace(left, pattern, barrier)
     licences = F.array_distinct(F.array_compact(F.array(*found)))
-    rest = F.filter(F.split(left, ";+"), lambda x: x != "")
+    rest = F.filter(F.split(left, "[;|]+"), lambda x: x != "")
     return licences, rest
 
 
@@ -152,7 +233,7 @@ def scan(
     columns of these names are replaced.
     """
     out = without(docs, "licences", "licence_sentences", "unmatched_sentences")
-    found = identifiers_of(sentences_of(text_or_empty(text_col)), known, keywords)
+    found = identifiers_of(folded(text_or_empty(text_col)), known, keywords)
     out = out.withColumn("licence_sentences", found)
     # Nearly all texts have no licence sentence; the rules run for the others only.
     some = F.size("licence_sentences") > 0

@@ -164,23 +164,33 @@ def _op7_sql() -> str:
     for k, (licence, parts) in enumerate(licenses.RULES):
         pattern = quote("".join(f";{p};" for p in parts))
         steps.append(
-            f"s{k + 1} AS (SELECT doc_id, replace(seq, {pattern}, '') AS seq, "
+            f"s{k + 1} AS (SELECT doc_id, replace(seq, {pattern}, '|') AS seq, "
             f"CASE WHEN contains(seq, {pattern}) AND NOT list_contains(got, {quote(licence)}) "
             f"THEN list_append(got, {quote(licence)}) ELSE got END AS got, ids FROM {source})"
         )
         source = f"s{k + 1}"
+    plain = lambda x: f"trim(regexp_replace({x}, '{licenses.ODD}', ' ', 'g'))"
+    mark = lambda x: f"CASE WHEN {plain(x)} IN (SELECT form FROM known) THEN chr(2) ELSE '' END"
     return f"""
 WITH known(form, name) AS (VALUES {pairs}),
-folded AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(1), 'abcdefghijklmnopqrstuvwxyz ') AS t FROM documents),
-marked AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, '([.!?;])[ \\t\\n\\x0b\\f\\r]+', '\\1' || chr(1), 'g'), '\\n', chr(1), 'g'), '[^a-z0-9\\x01]+', ' ', 'g') AS t FROM folded),
-parts AS (SELECT doc_id, string_split(t, chr(1)) AS p FROM marked),
-cut AS (SELECT doc_id, generate_subscripts(p, 1) AS i, trim(unnest(p)) AS s FROM parts),
-named AS (SELECT c.doc_id, c.i, coalesce(k.name, CASE WHEN regexp_matches(c.s, '\\b({words})\\b') THEN 'UNKNOWN' END) AS name FROM cut c LEFT JOIN known k ON c.s = k.form),
-lists AS (SELECT doc_id, list(name ORDER BY i) FILTER (WHERE name IS NOT NULL) AS ids FROM named GROUP BY doc_id),
+folded AS (SELECT doc_id, row_number() OVER () AS row_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || chr(1) || chr(2), 'abcdefghijklmnopqrstuvwxyz  ') AS t FROM documents),
+bare AS (SELECT doc_id, row_id, string_split(regexp_replace(regexp_replace(t, '{licenses.MARKS}', '\\1', 'g'), '{licenses.VERSION}', 'v \\1', 'g'), chr(10)) AS p FROM folded),
+lines AS (SELECT doc_id, row_id, generate_subscripts(p, 1) AS i, unnest(p) AS l FROM bare),
+ends AS (SELECT doc_id, row_id, i, l, string_split_regex(l, '{licenses.STOP}') AS f FROM lines),
+soft AS (SELECT doc_id, row_id, i, {mark("f[1]")} || l || {mark("f[-1]")} AS l FROM ends),
+joined AS (SELECT doc_id, row_id, string_agg(l, chr(10) ORDER BY i) AS t FROM soft GROUP BY ALL),
+cut AS (SELECT doc_id, row_id, string_split(regexp_replace(regexp_replace(regexp_replace(t, '{licenses.ITEM}', chr(1) || '\\1', 'g'),
+         '\\x02?{licenses.PARAGRAPH}', chr(1), 'g'), '{licenses.STOP}', chr(1), 'g'), chr(1)) AS p FROM joined),
+whole AS (SELECT doc_id, row_id, generate_subscripts(p, 1) AS i, unnest(p) AS s FROM cut),
+split AS (SELECT doc_id, row_id, i, CASE WHEN {plain("s")} IN (SELECT form FROM known) THEN [s] ELSE string_split(s, chr(2)) END AS p FROM whole),
+parts AS (SELECT doc_id, row_id, i, generate_subscripts(p, 1) AS k, unnest(p) AS s FROM split),
+named AS (SELECT c.doc_id, c.row_id, c.i, c.k, coalesce(n.name, CASE WHEN regexp_matches({plain("c.s")}, '\\b({words})\\b') THEN 'UNKNOWN' END) AS name
+          FROM parts c LEFT JOIN known n ON {plain("c.s")} = n.form),
+lists AS (SELECT doc_id, row_id, list(name ORDER BY i, k) FILTER (WHERE name IS NOT NULL) AS ids FROM named GROUP BY ALL),
 s0 AS (SELECT doc_id, ';' || array_to_string(coalesce(ids, []::VARCHAR[]), ';;') || ';' AS seq, []::VARCHAR[] AS got, coalesce(ids, []::VARCHAR[]) AS ids FROM lists),
 {", ".join(steps)}
 SELECT doc_id, array_to_string(got, ',') AS licences, array_to_string(ids, ',') AS sentences,
-       array_to_string(list_filter(string_split_regex(seq, ';+'), lambda x: x <> ''), ',') AS unmatched
+       array_to_string(list_filter(string_split_regex(seq, '[;|]+'), lambda x: x <> ''), ',') AS unmatched
 FROM {source}
 """
 
