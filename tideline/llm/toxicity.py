@@ -4,23 +4,24 @@ Only documents are labelled, so token labels are made from them first: in a boun
 sample, a word or word beginning (3 to 8 letters) that toxic documents hold far more
 often than chance allows marks its tokens as toxic (a tail bound on the
 binomial, corrected for the number of candidates). The CRF is trained on those token
-labels; its features are the marking words and beginnings. Forward-backward marginals
-over the whole text give spans (runs of tokens more likely toxic than not) and, through a
-small logistic model on their maximum, sum and count, the document score.
+labels, on a bounded number of windows of the sample; its features are the marking words and
+beginnings. A document is one chain: forward-backward marginals over the whole text give
+spans (runs of tokens more likely toxic than not) and, through a small logistic model on
+their maximum, sum and count, the document score.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extended, text_or_empty, without
+from .common import extended, release, restored, set_aside, text_or_empty, without
 from .crf import CAP, Chain, fit, forward_backward, windows
 from .shingles import batches_by_bytes
 
@@ -28,7 +29,8 @@ TOKEN = re.compile(r"[^\W\d_]+")
 PREFIXES = range(3, 9)
 SAMPLE_TOXIC = 1000
 SAMPLE_CLEAN = 2000
-SAMPLE_TEXT_BYTES = 200_000
+#: Text bytes of each class that the sample may hold; where they do not suffice, the longest documents are left out.
+SAMPLE_BYTES = 8 << 20
 #: Windows without a marking word that the chain is trained on, besides all with one.
 PLAIN_WINDOWS = 2000
 MAX_FEATURES = 4096
@@ -37,9 +39,20 @@ PRECISION = 0.45
 PREFIX_WORDS = 3
 CACHE_TYPES = 300_000
 THRESHOLD = 0.3
+ADDED = ("toxicity_score", "toxic_spans", "toxic")
 SPAN = "array<struct<start:int,end:int,probability:double>>"
 
 
+def fold(text: str) -> str:
+    """Lower case of the same length: offsets into it are offsets into the text."""
+    return text.replace("\u0130", "i").lower()
+
+
+def _tokens(folded: str) -> Iterable[str]:
+    """The tokens in order; those of a long text one by one instead of in a list."""
+    return TOKEN.findall(folded) if len(folded) < 1 << 20 else (m.group() for m in TOKEN.finditer(folded))
+
+
 def feature_names(token: str) -> list[str]:
     """The whole word ("=word") and its proper beginnings ("word~")."""
     return ["=" + token, *[token[:k] + "~" for k in PREFIXES if k < len(token)]]
@@ -73,7 +86,7 @@ class _Emissions(dict):
 
 
 def _summary(odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Per document: constant, largest token log-odds, log of the summed marginals, share of toxic tokens."""
+    """Per document: constant, largest token log-odds, log of the summed squared marginals, share of toxic tokens."""
     n = len(counts)
     out = np.zeros((n, 4))
     out[:, 0] = 1
@@ -83,7 +96,7 @@ def _summary(odds: np.ndarray, counts: np.ndarray) -> np.ndarray:
         heads = (np.cumsum(counts) - counts)[full]
         p = 1 / (1 + np.exp(-np.clip(odds, -CAP, CAP)))
         out[full, 1] = np.clip(np.maximum.reduceat(odds, heads), -6, 6)
-        out[full, 2] = np.log1p(np.add.reduceat(np.where(p > 0.01, p, 0), heads))
+        out[full, 2] = np.log1p(np.add.reduceat(p * p, heads))
         out[full, 3] = np.add.reduceat((p > 0.5).astype(float), heads) / np.sqrt(counts[full])
     return out
 
@@ -136,9 +149,13 @@ def _marking_features(doc_of: np.ndarray, type_of: np.ndarray, vocabulary: list[
     return [name for _, name in sorted(found, key=lambda x: (-x[0], x[1]))[:MAX_FEATURES]]
 
 
-def train(texts: list[str], toxic: np.ndarray, rate: float | None = None) -> ToxicityModel:
+def train(
+    texts: list[str], toxic: np.ndarray, rate: float | None = None, plain_windows: int = PLAIN_WINDOWS
+) -> ToxicityModel:
     """Model from whole texts and their 0/1 labels; one without evidence scores the base rate.
 
+    The chain's weights are fitted on all windows with a marking word and about ``plain_windows`` others.
+
     ``rate`` is the share of toxic texts where the model will be used, if the sample's differs.
     """
     model = ToxicityModel()
@@ -146,7 +163,7 @@ def train(texts: list[str], toxic: np.ndarray, rate: float | None = None) -> Tox
     base = sampled if rate is None else float(np.log(np.clip(rate, 1e-6, 1 - 1e-6) / (1 - np.clip(rate, 1e-6, 1 - 1e-6))))
     model.calibration = (base, 0.0, 0.0, 0.0)
     known: dict[str, int] = {}
-    tokens = [np.fromiter((known.setdefault(w, len(known)) for w in TOKEN.findall(t.lower())), np.int32) for t in texts]
+    tokens = [np.fromiter((known.setdefault(w, len(known)) for w in TOKEN.findall(fold(t))), np.int32) for t in texts]
     counts = np.array([len(t) for t in tokens], dtype=np.int64)
     if not known or not 0 < toxic.sum() < len(toxic):
         return model
@@ -164,17 +181,17 @@ def train(texts: list[str], toxic: np.ndarray, rate: float | None = None) -> Tox
     marked = np.zeros(n_types, bool)
     marked[owner] = True
     is_marked = marked[types]
-    starts, lengths = windows(counts)
+    starts, lengths, doc = windows(counts)
     hot = np.add.reduceat(is_marked, starts) > 0
     plain = np.flatnonzero(~hot)
-    hot[plain[:: max(1, len(plain) // PLAIN_WINDOWS)]] = True
+    hot[plain[:: max(1, len(plain) // plain_windows)]] = True
     use = np.repeat(hot, lengths)
     labels = (is_marked & (toxic[doc_of] > 0)).astype(float)
     some = lengths[hot]
     theta, model.chain = fit(types[use], labels[use], np.cumsum(some) - some, some, owner, flat, n_types, len(marks))
     model.weights, model.bias = dict(zip(marks, theta[:-1].tolist())), float(theta[-1])
     per_type = np.bincount(owner, theta[flat], n_types) + theta[-1]
-    odds, _, _ = forward_backward(per_type[types], starts, lengths, model.chain)
+    odds, _, _ = forward_backward(per_type[types], starts, lengths, model.chain, doc)
     fitted = _logistic(_summary(odds, counts), toxic)
     model.calibration = (fitted[0] + base - sampled, *fitted[1:])
     return model
@@ -189,11 +206,13 @@ def fit_toxicity(
     label_col: str = "toxic",
     sample_toxic: int = SAMPLE_TOXIC,
     sample_clean: int = SAMPLE_CLEAN,
+    sample_bytes: int = SAMPLE_BYTES,
+    plain_windows: int = PLAIN_WINDOWS,
 ) -> ToxicityModel:
     """Fit on at most ``sample_toxic`` + ``sample_clean`` labelled rows, those of smallest hashed ids.
 
-    Only the sample is bounded: documents over ``SAMPLE_TEXT_BYTES`` are not drawn into it.
-    Rows without a 0/1 label or a document do not count; of repeated labels each counts.
+    Each class has at most ``sample_bytes`` of text: its documents by ascending length, as
+    far as they fit. Rows without a 0/1 label or a document do not count; of repeated labels each counts.
     """
     usable = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
     usable = usable.filter(train_rows) if train_rows is not None else usable
@@ -204,13 +223,16 @@ def fit_toxicity(
     ]
     chosen = F.broadcast(draw[0].unionAll(draw[1]))  # bounded by the two sample sizes
     rate = usable.agg(F.avg("y")).first()[0]
+    slim = docs.select(F.col(id_col).alias("__tl_doc"), text_or_empty(text_col).alias("text"))
     rows = (
-        docs.join(chosen, F.col(id_col) == F.col("__tl_id"))
-        .select("y", "__tl_id", text_or_empty(text_col).alias("text"))
-        .filter(F.octet_length("text") <= SAMPLE_TEXT_BYTES)
+        slim.join(chosen, F.col("__tl_doc") == F.col("__tl_id"))
+        .select("y", "__tl_id", "text")
+        .withColumn("size", F.octet_length("text").cast("long"))
     )
+    shorter = Window.partitionBy("y").orderBy("size", F.xxhash64("__tl_id"), "__tl_id").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("total", F.sum("size").over(shorter)).filter(F.col("total") <= sample_bytes).drop("size", "total")
     table = rows.toArrow().sort_by([("__tl_id", "ascending"), ("text", "ascending")])
-    return train(table.column("text").to_pylist(), table.column("y").to_numpy().astype(np.float64), rate)
+    return train(table.column("text").to_pylist(), table.column("y").to_numpy().astype(np.float64), rate, plain_windows)
 
 
 # ---------------------------------------------------------------- scoring
@@ -220,7 +242,7 @@ def _spans(text: str, odds: np.ndarray) -> list[dict]:
     """Runs of toxic tokens as character offsets into the text."""
     out: list[dict] = []
     open_run = False
-    for k, match in enumerate(TOKEN.finditer(text.lower())):
+    for k, match in enumerate(TOKEN.finditer(fold(text))):
         if odds[k] > 0:
             p = float(_sigmoid(odds[k]))
             if open_run:
@@ -236,24 +258,25 @@ def score_toxicity(
 ) -> DataFrame:
     """All rows and columns plus ``toxicity_score`` (0 to 1), ``toxic_spans`` and ``toxic``.
 
-    Spans are character offsets into the lower-cased text, which agree with the text's
-    own except after the few letters whose lower case is longer. Null texts score
+    Spans are character offsets into the text. Null texts score
     like empty ones: the base rate of texts without toxic tokens. Input columns of
     these names are replaced.
     """
-    slim = without(docs, "toxicity_score", "toxic_spans", "toxic")
+    slim = without(docs, *ADDED)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("probability", pa.float64())]))
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         emissions = _Emissions(model)
         look = emissions.__getitem__
         for batch in batches:
             for part in batches_by_bytes(batch, text_col):
                 texts = [t or "" for t in part.column(text_col).to_pylist()]
-                found = [np.fromiter(map(look, TOKEN.findall(t.lower())), np.float64) for t in texts]
+                found = [np.fromiter(map(look, _tokens(fold(t))), np.float64) for t in texts]
                 counts = np.array([len(f) for f in found], dtype=np.int64)
                 emission = np.concatenate([*found, np.zeros(0)])
-                odds, _, _ = forward_backward(emission, *windows(counts), model.chain)
+                starts, lengths, doc = windows(counts)
+                odds, _, _ = forward_backward(emission, starts, lengths, model.chain, doc)
                 scores = _sigmoid(_summary(odds, counts) @ np.array(model.calibration))
                 ends = np.cumsum(counts)
                 hot = np.zeros(len(texts), bool)
@@ -270,3 +293,9 @@ def score_toxicity(
     schema = extended(slim, toxicity_score="double", toxic_spans=SPAN)
     scored = slim.mapInArrow(stage, schema)
     return scored.withColumn("toxic", F.col("toxicity_score") >= threshold)
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that :func:`score_toxicity` does not call toxic, with the columns of ``docs`` only (clashing names survive too)."""
+    inner, new = set_aside(docs, *ADDED)
+    return restored(score_toxicity(inner, model, new[text_col], threshold).filter(~F.col("toxic")), new)
