@@ -1,6 +1,6 @@
 """Exact top-k inner-product search by a Voronoi kNN join.
 
-1. *Pivots* are a bounded sample of the data. Every row goes to the cell of its
+1. *Pivots* are a sample of the data, about the square root of its rows, bounded. Every row goes to the cell of its
    nearest pivot and keeps its distance to it.
 2. *Summaries.* Each cell lists its row count and the distances of its k + 1 nearest rows to
    the pivot, one row of each id. For a query q, a row x of cell j scores at least q.p_j - |q| d(x, p_j) and at
@@ -20,6 +20,8 @@ all blocks; results stay exact, the cost is then that of the blocked full scan.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,15 +29,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import drop, materialise
 
 K = 5
-PIVOTS = 32
+#: Fewest and most pivots; in between there are as many as the square root of the rows.
+PIVOTS = (32, 1024)
 BLOCK_QUERIES = 2048
 SLICE_ROWS = 16384
-PROBE_ROWS = 256
+#: Rows that a block of queries is first solved against, shared out among its cells.
+PROBE_ROWS = 8192
 EXACT = 2**53
-LOW, HIGH = -(2**63), 2**63 - 1
+LIMIT = 2**63
 VEC = "id long, vec array<double>"
 HIT = "query_id long, vec_id long, score long"
 
@@ -44,7 +48,7 @@ HIT = "query_id long, vec_id long, score long"
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    """Rows of an Arrow list column of equal lengths as a float64 matrix."""
+    """Rows of an Arrow list column of equal lengths, null-free, as a float64 matrix."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -57,7 +61,7 @@ def lists(rows: np.ndarray) -> pa.Array:
 
 
 def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact integer inner products (int64); beyond 64 bits they are clamped.
+    """Exact integer inner products (int64); one beyond 64 bits raises.
 
     Products of doubles are exact while every partial sum stays below 2**53;
     larger components are multiplied as Python integers.
@@ -68,7 +72,9 @@ def scores(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return (queries @ rows.T).astype(np.int64)
     wide = np.vectorize(int, otypes=[object])
     product = wide(queries).dot(wide(rows).T)
-    return np.array([[min(max(x, LOW), HIGH) for x in line] for line in product.tolist()], dtype=np.int64)
+    if any(not -LIMIT <= x < LIMIT for line in product.tolist() for x in line):
+        raise OverflowError("an inner product does not fit 64 bits; use a smaller scale")
+    return product.astype(np.int64)
 
 
 def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
@@ -104,20 +110,24 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
 def usable(vectors: DataFrame, id_col: str, vec_col: str, scale: float) -> DataFrame:
     """``(id, vec)`` with vec = floor(scale * x) as doubles; unusable vectors are left out.
 
-    Left out: null or empty vectors, null or non-finite components (also after
-    scaling), null ids, and vectors whose dimension is not the most frequent one.
+    Left out: null vectors, null or non-finite components (also after scaling), null ids.
+    Vectors shorter than the longest one, empty ones included, are filled with zeros: an inner
+    product runs over the components that both have.
     """
     big = F.transform(F.col(vec_col).cast("array<double>"), lambda x: x * F.lit(float(scale)))
     fine = F.forall(big, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
     # Doubles of 2**52 or more are whole numbers already, and floor would not fit a long.
     whole = F.transform(big, lambda x: F.when(F.abs(x) < F.lit(float(2**52)), F.floor(x).cast("double")).otherwise(x))
     rows = (
-        vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec_col) > 0))
+        vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull())
         .filter(fine)
         .select(F.col(id_col).cast("long").alias("id"), whole.alias("vec"))
     )
-    common = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.filter(F.size("vec") == (common["d"] if common else 0))
+    sizes = rows.agg(F.min(F.size("vec")).alias("low"), F.max(F.size("vec")).alias("high")).first()
+    if sizes["low"] == sizes["high"] != 0:
+        return rows
+    zeros = F.array_repeat(F.lit(0.0), F.lit(max(sizes["high"], 1)) - F.size("vec"))
+    return rows.withColumn("vec", F.concat("vec", zeros))
 
 
 def _assign(pivots: np.ndarray):
@@ -182,23 +192,22 @@ def _thresholds(k: int, pivots: np.ndarray, nearest: list[tuple[int, np.ndarray]
     return run
 
 
-def _block_names(pivots: np.ndarray, per_cell: dict[int, int], block_queries: int):
-    """Column naming the block of a query: neighbouring cells together while they fit, big cells in parts."""
-    todo, chain = set(per_cell), []
-    while todo:
-        last = pivots[chain[-1]] if chain else pivots[min(todo)]
-        chain.append(min(todo, key=lambda c: (((pivots[c] - last) ** 2).sum(), c)))
-        todo.remove(chain[-1])
-    name, group, filled = F.lit("none"), 0, 0
+def _blocks(pivots: np.ndarray, per_cell: dict[int, int], block_queries: int) -> list[tuple[int, int, int]]:
+    """(cell, block, parts) of the cells with queries: neighbouring cells together while they fit, big cells in parts."""
+    todo = np.array(sorted(per_cell), dtype=np.int64)
+    last, chain = pivots[todo[0]] if len(todo) else None, []
+    while len(todo):
+        at = int(((pivots[todo] - last) ** 2).sum(axis=1).argmin())
+        chain.append(int(todo[at]))
+        last, todo = pivots[todo[at]], np.delete(todo, at)
+    out, block, filled = [], 0, 0
     for cell in chain:
         count = per_cell[cell]
         if filled and filled + count > block_queries:
-            group, filled = group + 1, 0
+            block, filled = block + 1, 0
         filled += count
-        parts = -(-count // block_queries)
-        part = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(parts)).cast("string")
-        name = F.when(F.col("cell") == cell, F.concat_ws(".", F.lit(str(group)), part)).otherwise(name)
-    return name
+        out.append((cell, block, -(-count // block_queries)))
+    return out
 
 
 # ---------------------------------------------------------------- operator
@@ -211,7 +220,7 @@ def search(
     vec_col: str = "embedding",
     k: int = K,
     scale: float = 256.0,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block_queries: int = BLOCK_QUERIES,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
@@ -220,10 +229,14 @@ def search(
     ``is_query`` is a condition on ``id``. Ties go to the smaller id; fewer than k
     candidates give fewer rows. Rows that repeat an id are candidates each on their own
     but never of a query with that id; repeated query ids are answered once. See
-    :func:`usable` for vectors that take no part. An empty table gives an empty result.
+    :func:`usable` for vectors that take no part and for mixed dimensions. A score beyond 64
+    bits fails. An empty table gives an empty result. ``pivots`` (default: see ``PIVOTS``) rows
+    at most are brought to the driver, and one row a cell and query block is made.
     """
     data = usable(vectors, id_col, vec_col, scale)
     out_schema = "query_id long, rank int, vec_id long, score long"
+    if pivots is None:
+        pivots = min(max(PIVOTS[0], math.isqrt(data.count())), PIVOTS[1])
     sample = data.orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(pivots).select("vec").collect()
     if not sample:
         return data.sparkSession.createDataFrame([], out_schema)
@@ -241,13 +254,19 @@ def search(
     nearest = [(r["cell"], np.array(r["near"])) for r in summary]
 
     per_cell = {r["cell"]: r["count"] for r in cells.filter(is_query).groupBy("cell").count().collect()}
-    named = _block_names(centres, per_cell, block_queries)
-    queries = cells.filter(is_query).dropDuplicates(["id"]).withColumn("block", named)
+    spark = data.sparkSession
+    # One row for each cell with queries: no more than there are pivots.
+    grouped = _blocks(centres, per_cell, block_queries)
+    named = F.broadcast(spark.createDataFrame(grouped, "cell int, b int, parts int"))
+    part = F.pmod(F.xxhash64("id", F.lit("block")), F.col("parts"))
+    queries = cells.filter(is_query).dropDuplicates(["id"]).join(named, "cell")
+    queries = queries.withColumn("block", F.concat_ws(".", F.col("b").cast("string"), part.cast("string")))
     queries = materialise(queries.select("id", "vec", "cell", "block"), "queries")
 
-    # Tightening: PROBE_ROWS of a cell at most, as only a bound is wanted here.
+    # Tightening: a bounded number of rows, as only a bound is wanted here.
+    share = max(2 * k, PROBE_ROWS // max(Counter(b for _, b, _ in grouped).values(), default=1))
     close = Window.partitionBy("cell").orderBy(F.xxhash64("id", F.lit("probe")), "id")
-    probe = cells.withColumn("r", F.row_number().over(close)).filter(F.col("r") <= PROBE_ROWS)
+    probe = cells.withColumn("r", F.row_number().over(close)).filter(F.col("r") <= share)
     blocks = queries.select("block", "cell").distinct()
     probe = probe.join(blocks, "cell").select("id", "vec", "block")
     probe = probe.select("id", "vec", F.col("block").alias("to"))
@@ -271,4 +290,7 @@ def search(
     hits = asked.groupBy("block", "slice").cogroup(sent.groupBy("to", "part")).applyInArrow(_solve(k), HIT)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     top = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    top = materialise(top.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "top")
+    for done in (cells, queries, least):
+        drop(done)
+    return top
