@@ -14,12 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, text_or_empty, without
+from .common import extended, release, restored, set_aside, text_or_empty, without
 from .gam import Gam, fit
 from .shingles import IS_SPACE, KEEP_CASE, batches_by_bytes, clean_words, filled, text_offsets, xxh64
 
 SAMPLE_ROWS = 20_000
 THRESHOLD = 0.3
+ADDED = ("quality_score", "quality_ok")
 #: Text bytes handled at once; the arrays of a step then stay in the processor's cache.
 STEP_BYTES = 256 << 10
 
@@ -160,11 +161,14 @@ def fit_quality(
     chosen = chosen.orderBy(F.xxhash64(id_col), id_col, label_col).limit(sample_rows)
     # sample_rows pairs of numbers at most: a bounded broadcast.
     chosen = F.broadcast(chosen.select(F.col(id_col).alias("__tl_id"), F.col(label_col).cast("int").alias("y")))
-    rows = docs.join(chosen, F.col(id_col) == F.col("__tl_id")).select("y", text_or_empty(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).alias("__tl_doc"), text_or_empty(text_col).alias("text"))
+    rows = slim.join(chosen, F.col("__tl_doc") == F.col("__tl_id")).select("y", "text")
     table = rows.mapInArrow(_feature_stage, "y int, x array<double>").toArrow()
     y = table.column("y").to_numpy().astype(np.float64)
     flat = table.column("x").combine_chunks().flatten().to_numpy() if len(y) else np.zeros(0)
-    return fit(flat.reshape(len(y), len(FEATURES)), y)
+    x = flat.reshape(len(y), len(FEATURES))
+    order = np.lexsort((y, *x.T))  # sums of numbers depend on their order, which tasks must not decide
+    return fit(x[order], y[order])
 
 
 def score_quality(
@@ -176,9 +180,10 @@ def score_quality(
     names are replaced.
     """
 
-    slim = without(docs, "quality_score", "quality_ok")
+    slim = without(docs, *ADDED)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in batches_by_bytes(batch, text_col, STEP_BYTES):
                 p = model.probability(features(filled(part.column(text_col))))
@@ -186,3 +191,9 @@ def score_quality(
 
     scored = slim.mapInArrow(stage, extended(slim, quality_score="double"))
     return scored.withColumn("quality_ok", F.col("quality_score") >= threshold)
+
+
+def drop_poor(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that :func:`score_quality` accepts, with the columns of ``docs`` only (clashing names survive too)."""
+    inner, new = set_aside(docs, *ADDED)
+    return restored(score_quality(inner, model, new[id_col], new[text_col], threshold).filter("quality_ok"), new)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 # XXH64 primes and the six separators of the word pattern: fixed values.
 P1, P2, P3, P4, P5 = (

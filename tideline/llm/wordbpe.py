@@ -15,8 +15,12 @@ import unicodedata
 import numpy as np
 import regex
 
-CACHE_WORDS = 1_000_000
-CACHE_PARTS = 500_000
+#: Bytes that the remembered words, and the remembered parts, may take up, each.
+CACHE_BYTES = 48 << 20
+#: Bytes of a remembered word besides its letters and ids: two objects and a table slot.
+ENTRY_BYTES = 200
+#: Longer words go to the library: the rounds below merge one pair of each word at a time.
+LONG_WORD = 128
 NO_MERGE = 2**31 - 1
 #: White space for the host language but not for the tokenizer: fixed values.
 ODD_SPACES = regex.compile("[\x1c-\x1f]")
@@ -31,6 +35,10 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(256 + rest.index(b)) for b in range(256)]
 
 
+def _bytes_of(words: list[str], ids: list[bytes]) -> int:
+    return sum(map(len, words)) + sum(map(len, ids)) + ENTRY_BYTES * len(words)
+
+
 class WordTokenizer:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -38,6 +46,7 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.known_bytes = self.parts_bytes = 0
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         self.special = [t["content"] for t in made.get("added_tokens") or []]
@@ -47,6 +56,8 @@ class WordTokenizer:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _usual(self, word: str) -> bool:
+        if len(word) > LONG_WORD:
+            return False
         return (word.isascii() and "<|" not in word) or (
             max(word) <= LAST_PLAIN
             and PLACE_DEPENDENT not in word
@@ -63,13 +74,16 @@ class WordTokenizer:
         for word in [w for w in new if not self._usual(w)]:
             known[word] = self._direct(word)
         new = [w for w in new if w not in known]
-        if len(parts) > CACHE_PARTS:
+        if self.parts_bytes > CACHE_BYTES:
             parts.clear()
+            self.parts_bytes = 0
         # All words are cut in one go: a line each, and the line ends come back as parts.
         cut = table.lines.findall("\n".join(new).lower())
         fresh = list({p for p in cut if p not in parts} - {"\n"})
         if fresh:
-            parts.update(zip(fresh, table.merge_all([p.encode() for p in fresh])))
+            made = table.merge_all([p.encode() for p in fresh])
+            parts.update(zip(fresh, made))
+            self.parts_bytes += _bytes_of(fresh, made)
         some: list[bytes] = []
         words = iter(new)
         for part in cut:
@@ -86,11 +100,13 @@ class WordTokenizer:
         odd = [ODD_SPACES.search(t) is not None for t in texts]
         split = [[] if o else t.split() for t, o in zip(texts, odd)]
         known = self.known
-        if len(known) > CACHE_WORDS:
+        if self.known_bytes > CACHE_BYTES:
             known.clear()
-        new = {w for words in split for w in words if w not in known}
+            self.known_bytes = 0
+        new = list({w for words in split for w in words if w not in known})
         if new:
-            self._learn(list(new))
+            self._learn(new)
+            self.known_bytes += _bytes_of(new, [known[w] for w in new])
         return [self._direct(t) if o else b"".join([known[w] for w in words]) for t, words, o in zip(texts, split, odd)]
 
 
