@@ -1,6 +1,6 @@
 """Balanced sharding by histogram sort (native DataFrame operations only).
 
-Rows are ordered by a 64-bit key (a hash of the id, so shards are shuffled).
+Rows are ordered by a 64-bit key (a hash of the row, so shards are shuffled).
 Splitters between shards are found by counting exact bytes below candidate
 boundaries: each round cuts the open key intervals into ``2 ** RADIX_BITS``
 probes, sums bytes and rows between neighbouring probes over all partitions, and
@@ -8,7 +8,9 @@ keeps for every splitter only the probe interval its target lies in. A splitter
 settled once the interval holds no more than the tolerance, or is one key.
 Then all rows move once, to the sub-range of the sorted order they belong to.
 
-Only histograms reach the driver: at most ``shards * 2 ** RADIX_BITS`` rows a round.
+The rows are read twice: once to write (key, size) of each, from which all histograms are
+counted, and once to be moved. Only histograms reach the driver: at most
+``shards * 2 ** RADIX_BITS`` rows a round.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import drop, materialise, without
 
 RADIX_BITS = 12
 KEY_BITS = 64
@@ -36,8 +38,9 @@ class Cut:
     size: int
 
 
-def default_key(id_col: str) -> Column:
-    return F.xxhash64(F.col(id_col).cast("string"))
+def default_key(columns: list[str]) -> Column:
+    """A hash of all columns, so that rows without an id, or with one id, spread as others do."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
 
 
 def _bucket(shift: int) -> Column:
@@ -128,22 +131,25 @@ def shard(
 
     Shards hold nearly equal sums of ``size``: every boundary lies within
     ``tolerance`` of a mean shard from its ideal place, unless a single row or key is
-    heavier. Rows of one key stay together in key order; ties are ordered by id. Null
-    ids are one key. ``size`` must not be null. Fewer rows than shards leave shards
-    empty. Input columns named shard or slot are replaced.
-
-    Slots need no single task a shard: a shard is cut into sub-ranges of about
-    ``range_rows`` rows, and the histogram gives the number of rows before each.
+    heavier. Rows of one key stay together in key order; ties are ordered by id. ``key`` must be a
+    function of the row; the default is a hash of all columns, so only rows that are equal in
+    all of them share a key, whatever their ids, null or not. ``size`` must not be null. Fewer
+    rows than shards leave shards empty. Input columns named shard or slot are replaced.
+
+    Slots need no single task a shard: a shard is cut into sub-ranges of about ``range_rows``
+    rows, and the histogram gives the number of rows before each. There are at most
+    ``max_ranges`` sub-ranges in all, as each is a splitter to find on the driver (4096 of them
+    keep a round's histogram below 2 ** 24 rows); from 4 billion rows on they grow instead.
     """
-    keyed = without(rows, "shard", "slot").withColumn(SIZE, size.cast("long"))
-    keyed = keyed.withColumn(KEY, key if key is not None else default_key(id_col))
-    n = rows.count()
+    keyed = without(rows, "shard", "slot")
+    keyed = keyed.withColumn(KEY, key if key is not None else default_key(keyed.columns)).withColumn(SIZE, size.cast("long"))
+    slim = materialise(keyed.select(F.col(KEY).cast("long").alias(KEY), SIZE), "keys")
+    n, weight = slim.agg(F.count("*"), F.sum(SIZE)).first()
     pieces = max(1, min(-(-n // (range_rows * shards)), max_ranges // shards))
     shares = [k / (shards * pieces) for k in range(1, shards * pieces)]
-    slim = keyed.select(KEY, SIZE)
-    mean = (slim.agg(F.sum(SIZE)).first()[0] or 0) / shards if n else 0
+    mean = (weight or 0) / shards
     cuts, _ = splitters(slim, shares, tolerance * mean) if n and shares else ([Cut(2**KEY_BITS, 0, 0)] * len(shares), None)
-
+    drop(slim)
     starts = [0, *[c.rows for c in cuts]]
     ranges = F.array(*[F.lit(starts[r] - starts[r - r % pieces]).cast("long") for r in range(len(starts))])
     moved = keyed.withColumn(RANGE, _range_of(cuts)).repartition(RANGE)
