@@ -5,10 +5,9 @@ once. *Links* are found over distinct fingerprints only:
 
 * Upper nodes. Fingerprints within ``d`` bits agree on at least one of ``d + 1``
   blocks of bits, so each fingerprint enters ``d + 1`` upper nodes, one for each
-  block, whose masked pattern (block mask, bits) all its members share. A very large
-  node is split again over its free bits in the same way, so shared masks accumulate. A
-  node that is still too large for a task is cut into parts, and each two parts meet in
-  a task of their own.
+  block, whose masked pattern (block mask, bits) all its members share. A
+  node that is too large for a task is split again over its free bits in the same way, so
+  shared masks accumulate; as members differ, a node with few free bits is small.
 * Inside a node, members are sorted by Gray rank, so neighbours differ in few
   bits; runs of the sorted order become leaf groups with the AND and OR of their
   members, and runs of leaves the next level. A query adds up the bits on which it differs
@@ -17,16 +16,15 @@ once. *Links* are found over distinct fingerprints only:
 * A node emits a spanning forest of its links, never all pairs. Components are
   then joined across nodes with star contraction.
 
-Two operators use the index. :func:`near_duplicates` links 64-bit fingerprints of word shingles.
-:func:`similar_documents` is for similarity thresholds such as 0.8 on five-word shingles, at which
-64 bits of shingles differ in about ten places, beyond the reach of the index. It finds all pairs:
+:func:`near_duplicates` links 64-bit fingerprints of word shingles. :func:`similar_documents` is
+for similarity thresholds such as 0.8 on five-word shingles, at which 64 bits of shingles differ
+in about ten places, beyond the reach of the index. It finds all pairs:
 similar sets share one of their rarest shingles, which groups the documents, and within
 a group the sets themselves are compared.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,19 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop, materialise, text_or_empty, without
+from .common import drop, materialise, release, split_join, text_or_empty
 from .components import components
-from .shingles import FOLD_AZ, P1, P2, P3, P5, batches_by_bytes, clean_words, majority_bits, shingle_hashes
+from .shingles import FOLD_AZ, batches_by_bytes, clean_words, majority_bits, shingle_hashes
 
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
-#: Rows of a node that one task links; of a part of a larger node; from which a node is split by more bits.
+#: Rows of a node that one task links; a larger one is split by more bits.
 NODE_ROWS = 4096
-PART_ROWS = 2048
-SPLIT_ROWS = 131_072
-MAX_DEPTH = 6
 LEAF = 32
-LANES = 4
+#: A fingerprint that more than this share of all rows has is joined without moving them.
+HOT_SHARE = 1 / 256
 #: Text bytes whose shingle sets one step makes; shingles of a part of a large group; rows of a group that all its parts see.
 SET_BYTES = 1 << 20
 PART_SHINGLES = 1_000_000
@@ -54,11 +50,6 @@ HUBS = 8
 SET = "__tl_group long, __tl_row long, __tl_v long, __tl_n long, __tl_set binary"
 SET_NAMES = ["__tl_group", "__tl_row", "__tl_v", "__tl_n", "__tl_set"]
 LINK = "a long, b long, u long, v long"
-#: Standard deviations of the wide fingerprint's estimate that a link may fall short by.
-SLACK = 1.0
-ITEM = "__tl_fp long, __tl_v long, __tl_wide binary"
-ROUTE = f"__tl_path string, __tl_mask long, {ITEM}"
-
 
 # ---------------------------------------------------------------- fingerprints
 
@@ -74,6 +65,7 @@ def fingerprints(
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in batches_by_bytes(batch, "text"):
                 buf, starts, ends, first = clean_words(part.column("text"), FOLD_AZ)
@@ -95,30 +87,18 @@ def _block_masks(mask: int, parts: int) -> list[int]:
     return [sum(1 << b for b in bits[a:z]) for a, z in zip(cuts, cuts[1:])]
 
 
-def _expand(distance: int):
-    """Route each item to its child nodes, one per block of the bits its node leaves free."""
-
-    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[int, list[int]] = {}
-        for batch in batches:
-            fp = batch.column("__tl_fp").to_numpy().view(np.uint64)
-            mask = batch.column("__tl_mask").to_numpy().view(np.uint64)
-            path = np.array(batch.column("__tl_path").to_pylist(), dtype=object)
-            for free in np.unique(mask):
-                rows = np.flatnonzero(mask == free)
-                own = batch.take(pa.array(rows))
-                blocks = cache.setdefault(int(free), _block_masks(int(free), distance + 1))
-                for k, block in enumerate(blocks):
-                    shared = fp[rows] & np.uint64(block)
-                    paths = [f"{p}/{k}:{s:x}" for p, s in zip(path[rows], shared.tolist())]
-                    left = np.full(len(rows), int(free) & ~block & (2**64 - 1), dtype=np.uint64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(paths, pa.string()), pa.array(left.view(np.int64)),
-                         own.column("__tl_fp"), own.column("__tl_v"), own.column("__tl_wide")],
-                        ["__tl_path", "__tl_mask", "__tl_fp", "__tl_v", "__tl_wide"],
-                    )
-
-    return stage
+def _route(items: DataFrame, distance: int, masks: list[int]) -> DataFrame:
+    """Each item in its child nodes, one per block of the bits its node leaves free; ``masks`` are all free masks there are."""
+    signed = lambda x: F.lit(x - 2**64 if x >= 2**63 else x).cast("long")
+    blocks = {m: _block_masks(m, distance + 1) for m in masks}
+    table = F.create_map(*[x for m in masks for x in (signed(m), F.array(*[signed(b) for b in blocks[m]]))])
+    each = items.select("*", F.posexplode(F.element_at(table, F.col("__tl_mask"))).alias("__tl_k", "__tl_block"))
+    shared = F.hex(F.col("__tl_fp").bitwiseAND(F.col("__tl_block")))
+    return each.select(
+        F.concat("__tl_path", F.lit("/"), F.col("__tl_k").cast("string"), F.lit(":"), shared).alias("__tl_path"),
+        F.col("__tl_mask").bitwiseAND(F.bitwise_not("__tl_block")).alias("__tl_mask"),
+        "__tl_fp",
+    )
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -129,20 +109,16 @@ def gray_rank(codes: np.ndarray) -> np.ndarray:
     return rank
 
 
-def link_node(
-    fps: np.ndarray, distance: int = MAX_DISTANCE, wide: np.ndarray | None = None, wide_distance: int = 0
-) -> list[tuple[int, int]]:
+def link_node(fps: np.ndarray, distance: int = MAX_DISTANCE) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of one node, as index pairs.
 
-    Members link at ``distance`` or fewer differing bits and, if ``wide`` (members x lanes) is
-    given, ``wide_distance`` or fewer differing bits there.
+    Members link at ``distance`` or fewer differing bits.
     """
     n = len(fps)
     if n < 2:
         return []
     order = np.argsort(gray_rank(fps), kind="stable")
     codes = fps[order]
-    lanes = None if wide is None else wide[order]
     label = np.arange(n)
     out: list[tuple[int, int]] = []
 
@@ -151,9 +127,6 @@ def link_node(
         nonlocal label
         fresh = label[i] != label[j]
         i, j = i[fresh], j[fresh]
-        if lanes is not None and len(i):
-            near = np.bitwise_count(lanes[i] ^ lanes[j]).sum(axis=1) <= wide_distance
-            i, j = i[near], j[near]
         if not len(i):
             return
         low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
@@ -223,63 +196,47 @@ def by_path(emit):
     return stage
 
 
-def _link_nodes(distance: int, wide_distance: int):
-    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) of linked items."""
+def _link_nodes(distance: int):
+    """Nodes arrive sorted by path; each is linked on its own. Emits (u, v) of linked fingerprints."""
 
     def emit(parts: list[pa.RecordBatch]) -> pa.RecordBatch | None:
-        node = pa.Table.from_batches(parts).combine_chunks()
-        wide = None
-        if wide_distance:
-            raw = b"".join(node.column("__tl_wide").to_pylist())
-            wide = np.frombuffer(raw, dtype=np.uint64).reshape(node.num_rows, -1)
-        pairs = link_node(node.column("__tl_fp").to_numpy().view(np.uint64), distance, wide, wide_distance)
+        fps = np.concatenate([p.column("__tl_fp").to_numpy() for p in parts])
+        pairs = link_node(fps.view(np.uint64), distance)
         if not pairs:
             return None
         i, j = np.array(pairs).T
-        ids = node.column("__tl_v").to_numpy()
-        return pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], ["u", "v"])
+        return pa.RecordBatch.from_arrays([pa.array(fps[i]), pa.array(fps[j])], ["u", "v"])
 
     return by_path(emit)
 
 
-def links(
-    items: DataFrame,
-    distance: int = MAX_DISTANCE,
-    wide_distance: int = 0,
-    node_rows: int = NODE_ROWS,
-    part_rows: int = PART_ROWS,
-    split_rows: int = SPLIT_ROWS,
-) -> DataFrame:
-    """Spanning links ``(u, v)`` among ``items(__tl_fp, __tl_v, __tl_wide)``; u and v are values of ``__tl_v``.
+def _by_task(frame: DataFrame) -> DataFrame:
+    """Nodes to tasks. The number is given, as small rows can mean much work and must not be merged into one task."""
+    parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(parts, "__tl_path").sortWithinPartitions("__tl_path")
 
-    No node of more than ``max(node_rows, 2 * part_rows)`` rows is in one task.
+
+def links(items: DataFrame, distance: int = MAX_DISTANCE, node_rows: int = NODE_ROWS) -> DataFrame:
+    """Spanning links ``(u, v)`` among the distinct fingerprints ``items(__tl_fp)``.
+
+    A task has one node of at most ``node_rows`` rows at a time, or of 2 ** (distance + 1) if that is more.
     """
-    todo = items.select(F.lit("").alias("__tl_path"), F.lit(-1).cast("long").alias("__tl_mask"), "__tl_fp", "__tl_v", "__tl_wide")
-    found = None
-    for depth in range(MAX_DEPTH):
-        routed = materialise(todo.mapInArrow(_expand(distance), ROUTE), "nodes")
+    todo = items.select(F.lit("").alias("__tl_path"), F.lit(-1).cast("long").alias("__tl_mask"), "__tl_fp")
+    masks, found, used = [2**64 - 1], None, []
+    while True:
+        routed = materialise(_route(todo, distance, masks), "nodes")
+        used.append(routed)
+        masks = sorted({m & ~b for m in masks for b in _block_masks(m, distance + 1)})
         sizes = routed.groupBy("__tl_path").agg(F.count("*").alias("__tl_n")).filter("__tl_n > 1")
         sized = routed.join(sizes, "__tl_path")
-        splits = (F.col("__tl_n") > split_rows) & (F.bit_count("__tl_mask") > distance + 1)
-        if depth == MAX_DEPTH - 1:
-            splits = F.lit(False)
-        ready = sized.filter(~splits)
-        parts = F.when(F.col("__tl_n") <= node_rows, 1).otherwise(F.ceil(F.col("__tl_n") / part_rows).cast("int"))
-        mine = F.pmod(F.xxhash64("__tl_fp", "__tl_v", "__tl_wide"), parts).cast("int")
-        meets = F.filter(F.sequence(F.lit(0), parts - 1), lambda q: (q != mine) | (parts == 1))
-        named = F.transform(
-            meets, lambda q: F.when(parts == 1, F.col("__tl_path")).otherwise(F.concat_ws("|", "__tl_path", F.least(q, mine), F.greatest(q, mine)))
-        )
-        tasks = ready.select(F.explode(named).alias("__tl_path"), "__tl_fp", "__tl_v", "__tl_wide")
-        done = (
-            tasks.repartition("__tl_path")
-            .sortWithinPartitions("__tl_path")
-            .mapInArrow(_link_nodes(distance, wide_distance), "u long, v long")
-        )
+        splits = (F.col("__tl_n") > node_rows) & (F.bit_count("__tl_mask") > distance + 1)
+        ready = _by_task(sized.filter(~splits).select("__tl_path", "__tl_fp"))
+        done = materialise(ready.mapInArrow(_link_nodes(distance), "u long, v long"), "found")
         found = done if found is None else found.unionAll(done)
-        todo = sized.filter(splits).select("__tl_path", "__tl_mask", "__tl_fp", "__tl_v", "__tl_wide")
-        if depth == MAX_DEPTH - 1 or todo.isEmpty():
+        todo = sized.filter(splits).select("__tl_path", "__tl_mask", "__tl_fp")
+        if todo.isEmpty():
             break
+    drop(*used)
     return found
 
 
@@ -307,48 +264,24 @@ def near_duplicates(
 
 
 def _label(prints: DataFrame, distance: int) -> DataFrame:
-    distinct = materialise(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "distinct")
-    items = distinct.select(F.col("fp").alias("__tl_fp"), F.col("fp").alias("__tl_v"), F.lit(b"").alias("__tl_wide"))
-    edges = materialise(links(items, distance), "links")
+    distinct = materialise(prints.groupBy("fp").agg(F.min("id").alias("first_id"), F.count("*").alias("n")), "distinct")
+    edges = links(distinct.select(F.col("fp").alias("__tl_fp")), distance)
     comp = components(edges)
     labelled = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component")
+        "fp", "n", "first_id", F.coalesce("component", "fp").alias("component")
     )
     least = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fp = materialise(labelled.join(least, "component").select("fp", "component_id"), "labels")
-    drop(edges)
+    by_fp = materialise(labelled.join(least, "component").select("fp", "n", "component_id"), "labels")
     drop(distinct)
-    return prints.join(by_fp, "fp")
+    # At most 1 / HOT_SHARE fingerprints; their rows stay where they are.
+    rows = by_fp.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = by_fp.filter(F.col("n") > rows * HOT_SHARE)
+    return split_join(prints, by_fp.select("fp", "component_id"), "fp", hot)
 
 
 # ---------------------------------------------------------------- similarity thresholds
 
 
-def wide_prints(hashes: np.ndarray, counts: np.ndarray, lanes: int = LANES) -> np.ndarray:
-    """(rows x lanes) SimHash of each row's distinct hashes; every lane mixes the hashes anew."""
-    row = np.repeat(np.arange(len(counts)), counts)
-    with np.errstate(over="ignore"):
-        _, at = np.unique(hashes ^ (row.astype(np.uint64) * P1), return_index=True)
-        at.sort()
-        once, counts = hashes[at], np.bincount(row[at], minlength=len(counts))
-        out = np.zeros((len(counts), lanes), dtype=np.uint64)
-        for k in range(lanes):
-            x = once + np.uint64(k) * P1
-            for shift, factor in ((30, P2), (27, P3), (31, P5)) if k else ():
-                x = (x ^ (x >> np.uint64(shift))) * factor
-            out[:, k] = majority_bits(x, counts)
-    return out
-
-
-def wide_cut(similarity: float, bits: int = 64 * LANES, slack: float = SLACK) -> int:
-    """Differing bits at which two sets of one size have this Jaccard similarity, plus the slack.
-
-    Sets of similarity s have cosine 2s / (1 + s), and each bit differs with probability angle / pi.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(bits * p + slack * math.sqrt(bits * p * (1 - p)))
-
-
 def _shingle_sets(words: int, exploded: bool):
     """Distinct shingle hashes of each row, ascending; texts without words have the one shingle 0.
 
@@ -356,6 +289,7 @@ def _shingle_sets(words: int, exploded: bool):
     """
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in batches_by_bytes(batch, "text", SET_BYTES):
                 hashes, counts = shingle_hashes(*clean_words(part.column("text"), FOLD_AZ), words)
@@ -475,7 +409,7 @@ def similar_documents(
 
     def linked(tasks: DataFrame) -> DataFrame:
         tasks = tasks.select("__tl_path", "__tl_left", "__tl_row", "__tl_v", "__tl_set")
-        return tasks.repartition("__tl_path").sortWithinPartitions("__tl_path").mapInArrow(_link_sets(similarity), LINK)
+        return _by_task(tasks).mapInArrow(_link_sets(similarity), LINK)
 
     every = F.sequence(F.lit(0), F.col("__tl_parts") - 1)
     within = sets.withColumn("__tl_path", name(F.col("__tl_part"))).withColumn("__tl_left", F.lit(True))
@@ -487,7 +421,10 @@ def similar_documents(
     edges = materialise(linked(within.unionByName(sent)), "links")
     if not large.isEmpty():
         edges = edges.unionAll(_across(large, edges, name, linked, part_shingles))
-    return components(edges.select("u", "v")).select(F.col("node").alias(id_col), F.col("component").alias("component_id"))
+    classes = components(edges.select("u", "v"))
+    out = materialise(classes.select(F.col("node").alias(id_col), F.col("component").alias("component_id")), "classes")
+    drop(sets)
+    return out
 
 
 def _across(large: DataFrame, edges: DataFrame, name, linked, part_shingles: int) -> DataFrame:
@@ -519,4 +456,5 @@ def drop_similar(
     """
     classes = similar_documents(docs, id_col, text_col, words, similarity)
     gone = materialise(classes.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("__tl_gone")), "gone")
+    drop(classes)
     return docs.join(gone, F.col(f"`{id_col}`") == F.col("__tl_gone"), "left_anti")

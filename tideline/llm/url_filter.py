@@ -16,13 +16,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, without
+from .common import materialise, split_join, without
 
 #: Suffixes of two labels under which names are registered: fixed values.
 TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.au", "com.br", "com.cn", "com.mx", "com.tr", "gov.uk", "net.au", "org.au", "org.uk")
 BLOCK_ABOVE = 0.5
 Z = 1.645
 WEAKEST, STRONGEST = 1.0, 1000.0
+#: A host with more than this share of all pages is joined without moving them.
+HOT_SHARE = 1 / 256
 ADDED = ("host", "path", "rule", "verdict", "posterior_mean", "posterior_low", "labelled_pages")
 
 
@@ -139,9 +141,13 @@ def judge(
     labelled = judged.select(F.col(id_col), "host").filter("host <> ''").join(
         outcomes.select(F.col(id_col).alias("__tl_id"), "bad"), F.col(id_col) == F.col("__tl_id")
     )
-    rated = host_reputation(labelled.select("host", "bad"), z, judged.filter("host <> ''")).withColumnRenamed("host", "__tl_host")
+    # Pages a host: the hosts to rate, and those few whose pages must not meet in one task.
+    sizes = materialise(judged.groupBy("host").agg(F.count("*").alias("__tl_n")), "sizes")
+    rated = host_reputation(labelled.select("host", "bad"), z, sizes.filter("host <> ''"))
+    pages_in_all = sizes.agg(F.coalesce(F.sum("__tl_n"), F.lit(0))).first()[0]
+    hot = sizes.filter(F.col("__tl_n") > pages_in_all * HOT_SHARE)
     rule, action = rule_columns(F.col("host"), F.col("path"), rules)
-    out = judged.join(rated, F.col("host") == F.col("__tl_host"), "left").drop("__tl_host")
+    out = split_join(judged, rated, "host", hot).select(*[F.col(f"`{c}`") for c in judged.columns], "labelled_pages", "posterior_mean", "posterior_low")
     blocked = F.coalesce(F.col("posterior_low") > block_above, F.lit(False))
     return out.withColumn("rule", rule).withColumn(
         "verdict", F.coalesce(action, F.when(blocked, F.lit("block")).otherwise(F.lit("allow")))
