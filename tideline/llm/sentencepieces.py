@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding with suffix-array matching.
 
-The new words of a batch are concatenated and their suffixes sorted; every piece of the
+The new words of a batch are concatenated, at most ``PART_CHARS`` at a time, and their suffixes
+sorted; every piece of the
 vocabulary is then binary-searched for the range of its occurrences. The occurrences
 are edges (position, length, rank), sorted by position, and the segmentation comes
 from relaxing along them. For the public vocabulary, which is a BPE model, a
@@ -9,7 +10,9 @@ segments of a word, leftmost first, joins them, for all words at once. (Relaxing
 sum of scores instead, as for unigram models, gives other ids than the model's.)
 
 Words are runs of the space mark and what follows up to the next one. No piece
-crosses their borders, so words are segmented on their own and remembered.
+crosses their borders, so words are segmented on their own and remembered. A word too long for
+a part, as in scripts without spaces, is cut where no piece spans the cut: merges never
+cross such a place.
 """
 
 from __future__ import annotations
@@ -23,12 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, without
+from .common import extended, held, without
 from .shingles import batches_by_bytes
 
 SPACE = "▁"
-CACHE_WORDS = 500_000
+#: Bytes that the remembered words may take up, and those of a word besides its letters and ids.
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 200
 STEP_BYTES = 1 << 20
+#: Characters whose pieces are matched at once; a character needs about 200 bytes meanwhile.
+PART_CHARS = 1 << 18
 LONG_WORD = 64
 NO_EDGE = np.int32(2**31 - 1)
 
@@ -72,6 +79,7 @@ class PieceTable:
             else:
                 self.raw.append(model.id_to_piece(i).replace(SPACE, " ").encode())
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
 
     # ------------------------------------------------------------ matching
 
@@ -183,15 +191,69 @@ class PieceTable:
 
     # ------------------------------------------------------------ texts
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+    def _spanned(self, word: str, at: int) -> bool:
+        """True if a piece that occurs in ``word`` covers the place between ``at - 1`` and ``at``."""
+        reach, pieces = self.longest, self.pieces
+        return any(
+            word[a:z] in pieces for a in range(at - 1, max(-1, at - reach), -1) for z in range(at + 1, min(len(word), a + reach) + 1)
+        )
+
+    def _cut(self, word: str) -> list[str]:
+        """A long word in parts that no piece connects; each is about PART_CHARS long if there are such places."""
+        parts, last, at = [], 0, PART_CHARS
+        while at < len(word):
+            if self._spanned(word, at):
+                at += 1
+                continue
+            parts.append(word[last:at])
+            last, at = at, at + PART_CHARS
+        return [*parts, word[last:]]
+
+    def _learn(self, new: list[str]) -> None:
+        """Segment new words, so many at a time that the arrays of a part stay small."""
+        known = self.known
+        part, size = [], 0
+        for word in [*new, None]:
+            if part and (word is None or size + len(word) > PART_CHARS):
+                made = self.segment(part)
+                known.update(zip(part, made))
+                self.known_bytes += sum(map(len, part)) + sum(map(len, made)) + ENTRY_BYTES * len(part)
+                part, size = [], 0
+            if word is not None:
+                part.append(word)
+                size += len(word)
+
+    def _ids_of_long(self, word: str) -> bytes:
+        """Parts meet where an unknown character can be on both sides: such ids are one."""
+        out: list[bytes] = []
+        for part in self._cut(word):
+            made = self.segment([part])[0]
+            if out and not self.bytes and made[:4] == out[-1][-4:] == np.asarray([self.unknown], "<u4").tobytes():
+                made = made[4:]
+            out.append(made)
+        return b"".join(out)
+
+    def _texts(self, texts: list[str]) -> list[bytes]:
         split = [self.word.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         known = self.known
-        if len(known) > CACHE_WORDS:
+        if self.known_bytes > CACHE_BYTES:
             known.clear()
-        new = sorted({w for words in split for w in words if w not in known})
-        if new:
-            known.update(zip(new, self.segment(new)))
-        return [b"".join([known[w] for w in words]) for words in split]
+            self.known_bytes = 0
+        long = {w: self._ids_of_long(w) for w in {w for words in split for w in words if len(w) > PART_CHARS}}
+        self._learn(sorted({w for words in split for w in words if w not in known and w not in long}))
+        return [b"".join([known[w] if w in known else long[w] for w in words]) for words in split]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; long texts are taken in slices that end before a space."""
+        out, step = [], []
+        for text in texts:
+            if len(text) <= 2 * STEP_BYTES:
+                step.append(text)
+                continue
+            out += self._texts(step)
+            out.append(b"".join([self._texts([part])[0] for part in _slices(text)]))
+            step = []
+        return out + self._texts(step)
 
     def decode(self, ids: bytes) -> str:
         raw = self.raw
@@ -200,6 +262,22 @@ class PieceTable:
         return text[1:] if text.startswith(" ") else text
 
 
+def _slices(text: str, size: int = STEP_BYTES) -> Iterator[str]:
+    """Parts of about ``size`` characters, cut at single spaces: each but the last ends before one, which is left out
+    because a text begins with a space mark of its own."""
+    at = 0
+    while len(text) - at > size:
+        border = text.find(" ", at + size)
+        # Among several spaces in a row, or next to a mark, a slice would begin another word.
+        while 0 <= border < len(text) - 1 and (text[border + 1] in f" {SPACE}" or text[border - 1] in f" {SPACE}"):
+            border = text.find(" ", border + 1)
+        if border < 0 or border >= len(text) - 1:
+            break
+        yield text[at:border]
+        at = border + 1
+    yield text[at:]
+
+
 def _windows(codes: np.ndarray, bits: int, depth: int) -> list[np.ndarray]:
     """The next ``depth * 64 / bits`` characters of every suffix, packed into ``depth`` numbers."""
     per_key = 64 // bits
@@ -271,13 +349,8 @@ def _relax_long(rank: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-_tables: dict[str, PieceTable] = {}
-
-
 def piece_table(path: str) -> PieceTable:
-    if path not in _tables:
-        _tables[path] = PieceTable(path)
-    return _tables[path]
+    return held(f"pieces {path}", lambda: PieceTable(path))
 
 
 def encode(docs: DataFrame, model_path: str, text_col: str = "text", with_text: bool = True) -> DataFrame:
