@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tideline.llm import shingles
 from tideline.llm.components import components
 from tideline.llm.exact_dedup import drop_duplicates, mark_duplicates
-from tideline.llm.simhash import drop_similar, link_node, links, near_duplicates, similar_documents, wide_cut, wide_prints
+from tideline.llm.simhash import drop_similar, link_node, links, near_duplicates, similar_documents
 
 LONG = "long text " * 4000
 DOCS = [
@@ -28,10 +28,12 @@ def expected_marks(rows):
     return {t: (max((i for i in ids if i is not None), default=None), len(ids)) for t, ids in groups.items()}
 
 
-@pytest.mark.parametrize("bucket", [1, 2, 1000])
-def test_exact_groups(spark, bucket):
+@pytest.mark.parametrize(("bucket", "block", "broadcast"), [(1, 32, 16 << 20), (1, 32, 0), (2, 4, 16 << 20), (1000, 1, 0)])
+def test_exact_groups(spark, bucket, block, broadcast, monkeypatch):
+    """All of the recursion by all executors, all of it inside a bucket, or some of each; keys broadcast or joined."""
+    monkeypatch.setattr("tideline.llm.exact_dedup.BROADCAST_BYTES", broadcast)
     df = spark.createDataFrame(DOCS, "doc_id long, text string")
-    got = mark_duplicates(df, max_hot=10**9, min_bucket_rows=bucket).collect()
+    got = mark_duplicates(df, max_hot=10**9, min_bucket_rows=bucket, first_block=block).collect()
     want = expected_marks(DOCS)
     assert len(got) == len(DOCS)
     kept = defaultdict(int)
@@ -53,6 +55,31 @@ def test_exact_hot_group_and_levels(spark):
     assert all((got[i]["keep_id"], got[i]["group_size"]) == want[t] for i, t in rows)
 
 
+def test_exact_random_texts(spark):
+    """The default path against a dictionary: short alphabets make many shared beginnings of all lengths."""
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 900)), "".join(rng.choice(["a", "b", "é"], int(rng.integers(0, 7))))) for _ in range(900)]
+    rows += [(k, "x" * int(rng.integers(30, 36))) for k in range(100)] + [(None, "a"), (None, "zz"), (None, "zz")]
+    got = mark_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want, kept = expected_marks(rows), defaultdict(int)
+    assert all((r["keep_id"], r["group_size"]) == want[r["text"]] for r in got) and len(got) == len(rows)
+    for r in got:
+        kept[r["text"]] += r["kept"]
+        assert not r["kept"] or r["doc_id"] == r["keep_id"]
+    assert set(kept.values()) == {1} and len(kept) == len(want)
+
+
+def test_exact_very_long_texts(spark):
+    """Texts of megabytes that differ in their last byte, or only in length, and copies of them."""
+    long = "0123456789abcdef" * 150_000
+    rows = [(1, long), (2, long), (3, long + "x"), (4, long + "y"), (5, long + "x"), (6, long[:-1])]
+    for bucket in (1, 200):
+        got = mark_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), min_bucket_rows=bucket, max_hot=10**9)
+        assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in got.select("doc_id", "keep_id", "group_size").collect()} == {
+            1: (2, 2), 2: (2, 2), 3: (5, 2), 5: (5, 2), 4: (4, 1), 6: (6, 1)
+        }
+
+
 def test_exact_empty_and_clashing_columns(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert mark_duplicates(empty).count() == 0
@@ -147,11 +174,11 @@ def test_node_forest(seed):
     assert [find(i) for i in range(len(fps))] == classes(fps)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"node_rows": 3, "part_rows": 2}, {"node_rows": 3, "part_rows": 2, "split_rows": 6}])
+@pytest.mark.parametrize("sizes", [{}, {"node_rows": 40}, {"node_rows": 12}])
 def test_links_keep_components(spark, sizes):
-    """Whole nodes, nodes in parts, and nodes split by more bits find the same classes."""
+    """Whole nodes, and nodes split by more bits once or several times, find the same classes."""
     fps = clustered(7)
-    df = spark.createDataFrame([(int(f), int(f), b"") for f in fps.view(np.int64)], "__tl_fp long, __tl_v long, __tl_wide binary")
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "__tl_fp long")
     edges = links(df, 2, **sizes).collect()
     at = {int(f): k for k, f in enumerate(fps.view(np.int64))}
     parent, find = brute_components(range(len(fps)))
@@ -162,22 +189,12 @@ def test_links_keep_components(spark, sizes):
     assert [find(i) for i in range(len(fps))] == classes(fps)
 
 
-def test_wide_links_in_a_node():
-    rng = np.random.default_rng(2)
-    fps = clustered(3)
-    wide = rng.integers(0, 2**63, (len(fps), 4), dtype=np.uint64) & np.uint64(0x00000F0000000F0F)
-    parent, find = brute_components(range(len(fps)))
-    for i in range(len(fps)):
-        for j in range(i):
-            if np.bitwise_count(fps[i] ^ fps[j]) <= 7 and np.bitwise_count(wide[i] ^ wide[j]).sum() <= 20:
-                a, b = find(i), find(j)
-                parent[max(a, b)] = min(a, b)
-    want = [find(i) for i in range(len(fps))]
-    parent, find = brute_components(range(len(fps)))
-    for i, j in link_node(fps, 7, wide, 20):
-        a, b = find(i), find(j)
-        parent[max(a, b)] = min(a, b)
-    assert [find(i) for i in range(len(fps))] == want and len(set(want)) < len(fps)
+def test_hot_fingerprint(spark):
+    """A text that most rows share is joined to its class without moving its rows; copies of it all link."""
+    rows = [(k, "same words in all of these") for k in range(400)] + [(1000 + k, f"other text number {k} {k * k} here") for k in range(9)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r["component_id"] for r in got if r["doc_id"] < 400} == {0}
+    assert all(r["component_id"] == r["doc_id"] for r in got if r["doc_id"] >= 1000)
 
 
 def test_components(spark):
@@ -245,14 +262,3 @@ def test_similar_documents(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert None in ids and set(ids) == {i for i, _ in rows if found.get(i, i) == i}
     assert similar_documents(df.limit(0)).count() == 0 and drop_similar(df.limit(0)).count() == 0
-
-
-def test_wide_estimate():
-    assert wide_cut(1.0) == 0 and 38 <= wide_cut(0.8, slack=0) <= 39
-    rng = np.random.default_rng(4)
-    a = rng.integers(0, 2**63, 400, dtype=np.uint64)
-    b = a.copy()
-    b[:44] = rng.integers(0, 2**63, 44, dtype=np.uint64)  # similarity 356 / 444
-    prints = wide_prints(np.concatenate([a, b, a, a]), np.array([400, 400, 800]))
-    assert 20 <= int(np.bitwise_count(prints[0] ^ prints[1]).sum()) <= 58
-    assert (prints[0] == prints[2]).all()  # repeats do not count

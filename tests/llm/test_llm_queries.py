@@ -113,7 +113,60 @@ def test_dedup_stages_against_brute_force(spark):
     before = docs.filter(docs["doc_id"].isin(*unique))
     kept = {r["doc_id"] for r in stages["near_dedup"](spark, before, sf).select("doc_id").collect()}
     pairs = similar_pairs({d: texts[d] for d in unique})
-    close = [p for p, s in pairs.items() if s >= 0.9]
-    assert sum(not (a in kept and b in kept) for a, b in close) >= 0.95 * len(close)
+    assert not [p for p, s in pairs.items() if s >= 0.8 and p[0] in kept and p[1] in kept]
     for gone in unique - kept:
-        assert max((s for p, s in pairs.items() if gone in p), default=0) >= 0.6
+        assert max((s for p, s in pairs.items() if gone in p), default=0) >= 0.8
+
+
+ODD_ROWS = [
+    (1, None, "en", "s", 0), (2, "", None, "s", None), (None, "no id " * 30, "en", None, 1), (None, "no id " * 30, "en", None, 1), (4, " \n\t", "xx", "", 3),
+    (5, "same text here " * 20, "en", "s", 9), (5, "same text here " * 20, "en", "s", 9), (6, "same text here " * 20, "de", "t", 9),
+    (7, "word " * 200_000, "en", "s", 1), (8, "x" * 1_000_000, "en", "s", 1), (9, "日本語" * 50_000, "ja", "s", 1),
+]
+
+
+@pytest.mark.parametrize("rows", [ODD_ROWS, []], ids=["odd", "empty"])
+def test_stages_on_odd_rows(spark, rows):
+    """Nulls in any column, empty and very long texts, repeated rows, an empty table, and columns named like the operators' own."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    clash = {"kept": "'k'", "keep_id": "1", "group_size": "2", "quality_score": "'q'", "quality_ok": "false", "toxic": "'t'", "toxic_spans": "3", "component_id": "4", "u": "5", "start": "6", "offset": "7"}
+    docs = docs.selectExpr("*", *[f"{v} AS {k}" for k, v in clash.items()])
+    whole = Counter(map(str, docs.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        got = Counter(map(str, out.collect()))
+        assert not got - whole, name
+        if rows and name == "exact_dedup":
+            texts = [r["text"] or "" for r in out.collect()]
+            assert sorted(texts) == sorted({t or "" for _, t, *_ in rows})
+            assert {r["doc_id"] for r in out.collect()} == {2, None, 4, 6, 7, 8, 9}
+        if rows and name == "near_dedup":
+            # 1, 2 and 4 have no words and are alike; 5 stays with its repeated row, 6 goes; rows without an id stay.
+            assert sorted(str(r["doc_id"]) for r in out.collect()) == ["1", "5", "5", "7", "8", "9", "None", "None"]
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF).select("doc_id", "start", "length", "doc_tokens").collect()
+    assert Counter(str(r["doc_id"]) for r in pieces if r["start"] == 0) == Counter(str(d) for d, *_ in rows)
+
+
+def test_near_stage_recall_on_all_of_sf01(spark):
+    """All pairs of the distinct texts of sf0.1 at similarity 0.8 or more lose one; nothing else goes."""
+    sf = "/root/testdata/sf0.1"
+    docs = corpus_pipeline.exact_stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    pairs = [p for p, s in similar_pairs(texts).items() if s >= 0.8]
+    kept = {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, sf).select("doc_id").collect()}
+    assert pairs and not [p for p in pairs if p[0] in kept and p[1] in kept]
+    partners = {d for p in pairs for d in p}
+    assert set(texts) - kept <= partners
+
+
+def test_run_leaves_only_what_its_result_reads(spark):
+    from tideline.llm import common
+
+    before = common.written()
+    rows = corpus_pipeline.run(spark, SF).count()
+    left = [p for p in common.written() if p not in before]
+    assert rows and len(left) <= 2, left
+    common.clean_up(spark, before)
+    assert common.written() == before

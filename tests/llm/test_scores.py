@@ -74,8 +74,172 @@ def test_marginals_match_enumeration():
 
 
 def test_windows():
-    starts, lengths = crf.windows(np.array([0, 3, 300, 128]))
-    assert starts.tolist() == [0, 3, 131, 259, 303] and lengths.tolist() == [3, 128, 128, 44, 128]
+    starts, lengths, doc = crf.windows(np.array([0, 3, 300, 128]))
+    assert starts.tolist() == [0, 3, 131, 259, 303] and lengths.tolist() == [3, 128, 128, 44, 128] and doc.tolist() == [1, 2, 2, 2, 3]
+
+
+def sequential(emission, chain):
+    """Forward and backward over one document, a token at a time."""
+    a01, a10, a11 = math.exp(chain.t01), math.exp(chain.t10), math.exp(chain.t11)
+    fore, back = np.zeros(len(emission)), np.zeros(len(emission))
+    for t, e in enumerate(emission):
+        r = math.exp(fore[t - 1]) if t else 0
+        fore[t] = e + (math.log((a01 + r * a11) / (1 + r * a10)) if t else chain.start)
+    for t in range(len(emission) - 2, -1, -1):
+        s = math.exp(emission[t + 1] + back[t + 1])
+        back[t] = math.log((a10 + a11 * s) / (1 + a01 * s))
+    return fore + back
+
+
+@pytest.mark.parametrize("width", [1, 7, 128, 5000])
+def test_chains_do_not_depend_on_windows(width):
+    """A document of 1000 tokens is one chain, wherever its windows lie and whatever stands before it."""
+    rng = np.random.default_rng(2)
+    chain = crf.Chain(-0.5, -2.0, 0.3, 1.8)
+    counts = np.array([5, 1000, 0, 129, 128, 1, 300])
+    emission = rng.normal(size=counts.sum()) * 2
+    emission[40:44], emission[200:500] = 40, -45  # far beyond the cap
+    ends = np.cumsum(counts)
+    want = np.concatenate([sequential(np.clip(emission[e - c : e], -crf.CAP, crf.CAP), chain) for e, c in zip(ends, counts)])
+    starts, lengths, doc = crf.windows(counts, width)
+    odds, _, _ = crf.forward_backward(emission, starts, lengths, chain, doc)
+    assert np.allclose(odds, want, rtol=1e-9, atol=1e-9)
+
+
+def test_likelihood_gradient_by_enumeration():
+    """The fit's optimum: at it, no small change of a weight makes the labels more likely (no penalty, full windows)."""
+    types = np.array([0, 1, 0, 2, 1, 0, 0, 1])
+    labels = np.array([0, 1, 0, 0, 1, 0, 1, 1], float)
+    starts, lengths = np.array([0, 4]), np.array([4, 4])
+    owner, flat = np.array([0, 1, 2]), np.array([0, 1, 2])
+
+    def likelihood(theta):
+        chain, total = crf.Chain(*theta[4:]), 0.0
+        for s in starts:
+            weights = {}
+            for path in itertools.product((0, 1), repeat=4):
+                w = chain.start * path[0] + sum((theta[types[s + t]] + theta[3]) * path[t] for t in range(4))
+                weights[path] = w + sum({(0, 1): chain.t01, (1, 0): chain.t10, (1, 1): chain.t11}.get(p, 0) for p in itertools.pairwise(path))
+            total += weights[tuple(labels[s : s + 4].astype(int))] - math.log(sum(map(math.exp, weights.values())))
+        return total
+
+    theta, chain = crf.fit(types, labels, starts, lengths, owner, flat, 3, 3, steps=400, rate=0.1, l2=0.3)
+    theta = np.concatenate([theta, [chain.start, chain.t01, chain.t10, chain.t11]])
+    penalised = lambda x: likelihood(x) / labels.sum() - 0.3 * (x**2).sum() / 2 / len(x)
+    for k in range(len(theta)):
+        for step in (-0.05, 0.05):
+            moved = theta.copy()
+            moved[k] += step
+            assert penalised(moved) <= penalised(theta) + 1e-6
+
+
+def test_token_labels_by_hand():
+    """Marked words and beginnings are those toxic documents hold beyond chance, and the score adds up as stated."""
+    texts = ["you idiot now"] * 30 + ["idiotic idiots idiocy"] * 30 + ["all is fine now"] * 200 + ["you are fine"] * 100
+    toxic = np.array([1.0] * 60 + [0.0] * 300)
+    model = toxicity.train(texts, toxic)
+    assert {"=idiot", "=idiotic", "=idiots", "=idiocy"} <= set(model.weights)
+    assert not {"=you", "=now", "=fine", "=all"} & set(model.weights)
+    words = "well you idiot now".split()
+    odds = sequential([model.emission_of(w) for w in words], model.chain)
+    p = 1 / (1 + np.exp(-odds))
+    x = [1, np.clip(odds.max(), -6, 6), np.log1p((p * p).sum()), (p > 0.5).sum() / 2]
+    starts, lengths, doc = crf.windows(np.array([4]))
+    got, _, _ = crf.forward_backward(np.array([model.emission_of(w) for w in words]), starts, lengths, model.chain, doc)
+    assert np.allclose(toxicity._summary(got, np.array([4]))[0], x)
+    assert [bool(v) for v in p > 0.5] == [False, False, True, False]
+
+
+def test_offsets_are_of_the_text(spark):
+    """Letters whose lower case is longer do not move the spans; nor does the place in a long text."""
+    model = toxicity.train(["you idiot now"] * 40 + ["you say all is fine now"] * 200, np.array([1.0] * 40 + [0.0] * 200))
+    texts = ["İİİİ you idiot now", "Idiot", "fine words " * 150 + "you idiot now " + "fine words " * 15_000, "\U0001F600 idiot İ idiot"]
+    rows = toxicity.score_toxicity(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    for r in rows:
+        found = [r["text"][s["start"] : s["end"]].lower() for s in r["toxic_spans"]]
+        assert "idiot" in " ".join(found) and all("fine" not in f for f in found), found
+
+
+def test_long_documents_are_in_the_sample(spark):
+    docs = spark.createDataFrame([(1, "bad " * 100_000), (2, "fine " * 100), (3, "fine " * 100)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 0)], "doc_id long, toxic int")
+    seen = []
+    toxicity_train = toxicity.train
+    try:
+        toxicity.train = lambda texts, y, rate, plain: seen.append((sorted(map(len, texts)), y.tolist()))
+        toxicity.fit_toxicity(docs, labels)
+        toxicity.fit_toxicity(docs, labels, sample_bytes=600)
+    finally:
+        toxicity.train = toxicity_train
+    assert seen == [([500, 500, 500, 400_000], [1.0, 0.0, 0.0, 0.0]), ([500], [0.0])]
+
+
+def test_tied_scores(spark):
+    """Equal texts score alike in any batch, rows without an id or repeated too."""
+    rows = [(k % 3 or None, "you idiot") for k in range(50)]
+    model = toxicity.train(["you idiot now"] * 40 + ["you say all is fine now"] * 200, np.array([1.0] * 40 + [0.0] * 200))
+    got = toxicity.score_toxicity(spark.createDataFrame(rows, "doc_id long, text string").repartition(7), model).collect()
+    assert len(got) == 50 and len({r["toxicity_score"] for r in got}) == 1
+
+
+# ---------------------------------------------------------------- the additive model by hand
+
+
+def brute_boosting(x, y, rounds):
+    """Cyclic boosting of three-leaf trees, with every split tried on plain sums."""
+    base = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
+    logit, width = np.full(len(y), base), x.shape[1]
+    edges = [gam.cuts(x[:, j], gam.BINS) for j in range(width)]
+    for _ in range(rounds):
+        for j in range(width):
+            p = 1 / (1 + np.exp(-logit))
+            place = np.array([int((edges[j] <= v).sum()) for v in x[:, j]])
+            leaves = [(0, len(edges[j]) + 1)]
+
+            def total(a, z):
+                inside = (place >= a) & (place < z)
+                return (y - p)[inside].sum(), (p * (1 - p))[inside].sum()
+
+            def gain(a, z):
+                g, h = total(a, z)
+                return g * g / (h + gam.L2)
+
+            while len(leaves) < gam.LEAVES:
+                options = [(gain(a, c) + gain(c, z) - gain(a, z), -k, -c) for k, (a, z) in enumerate(leaves) for c in range(a + 1, z)]
+                if not options or max(options)[0] <= 1e-9:
+                    break
+                _, k, c = max(options)
+                a, z = leaves.pop(-k)
+                leaves += [(a, -c), (-c, z)]
+            step = np.zeros(len(y))
+            for a, z in leaves:
+                g, h = total(a, z)
+                step[(place >= a) & (place < z)] = gam.RATE * g / (h + gam.L2)
+            logit = logit + step
+    return 1 / (1 + np.exp(-logit))
+
+
+def test_boosting_by_hand():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 3))
+    y = (x[:, 0] + 0.3 * rng.normal(size=300) > 0.4).astype(float)
+    model = gam.fit(x, y, rounds=6, pairs=0)
+    assert np.allclose(model.probability(x), brute_boosting(x, y, 6))
+    paired = gam.fit(x, y, rounds=3)
+    by_row = [paired.base + sum(t[(e <= v).sum()] for t, e, v in zip(paired.tables, paired.edges, row))
+              + sum(t[(paired.pair_edges[a] <= row[a]).sum(), (paired.pair_edges[b] <= row[b]).sum()] for (a, b), t in zip(paired.pairs, paired.pair_tables))
+              for row in x]
+    assert paired.pairs and np.allclose(paired.logit(x), by_row)
+
+
+def test_quality_repeated_labels_and_long_texts(spark):
+    """A repeated label counts once for each time; a text of megabytes scores like any other; order of rows is no matter."""
+    docs = spark.createDataFrame([(k, ("good words here. " if k % 2 else "b@d!! ") * (3 + k)) for k in range(40)] + [(99, "long text. " * 300_000)], "doc_id long, text string")
+    labels = [(k, k % 2) for k in range(40)] + [(0, 0)] * 5 + [(1, 0), (None, 1), (7, None), (500, 1)]
+    fits = [quality.fit_quality(d, spark.createDataFrame(some, "doc_id long, quality int")) for d, some in ((docs, labels), (docs.repartition(5), labels[::-1]))]
+    assert fits[0].base == fits[1].base == pytest.approx(math.log((20 - 0 + 0.5) / (26 + 0.5)))
+    scores = [{r["doc_id"]: r["quality_score"] for r in quality.score_quality(docs, f).collect()} for f in fits]
+    assert scores[0] == scores[1] and len(scores[0]) == 41 and 0 <= scores[0][99] <= 1
 
 
 EDGE = [(1, None), (2, ""), (3, "You idiot! clean words"), (3, "You idiot! clean words"), (None, "plain"), (5, "good text " * 9000)]

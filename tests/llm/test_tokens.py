@@ -1,6 +1,6 @@
 """SentencePiece, the word tokenizer and packing against the libraries and by round trip."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -79,9 +79,48 @@ def test_encode_frames(spark):
     assert sentencepieces.encode(df.limit(0), PIECES).count() == 0
 
 
+def test_long_texts_in_slices(library, processor, monkeypatch):
+    """Texts and words far longer than a step, cut small here, and one of megabytes as it is."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefgh  ▁\n日本語中é"))
+    texts = ["".join(rng.choice(letters, 30_000)), "ab" * 9000, "".join(map(chr, rng.integers(0x4E00, 0x9FFF, 9000))), "\U0001F600\U0001F601" * 4000, " " * 5000 + "x" + "  y" * 3000]
+    for name, value in (("PART_CHARS", 500), ("STEP_BYTES", 700)):
+        monkeypatch.setattr(sentencepieces, name, value)
+    assert [ids(x) for x in TABLE.encode_batch(texts)] == processor.encode(texts)
+    monkeypatch.setattr(packing, "STEP_BYTES", 700)
+    plain = [t.replace("▁", "_") for t in texts]
+    assert [ids(x) for x in packing._encoded(plain, WORDS)] == [e.ids for e in library.encode_batch(plain, add_special_tokens=False)]
+    monkeypatch.undo()
+    whole = " ".join(f"word{i % 5000} x{i}" for i in range(200_000))
+    assert ids(TABLE.encode_batch([whole])[0]) == processor.encode(whole)
+    assert ids(next(packing._encoded([whole], WORDS))) == library.encode(whole, add_special_tokens=False).ids
+
+
+def test_caches_are_bounded(monkeypatch):
+    """Forgetting the words learned so far changes no ids."""
+    monkeypatch.setattr(wordbpe, "CACHE_BYTES", 5000)
+    monkeypatch.setattr(sentencepieces, "CACHE_BYTES", 5000)
+    words, pieces = wordbpe.WordTokenizer(BPE), sentencepieces.PieceTable(PIECES)
+    for k in range(20):
+        texts = [f"some words number{k} and{i} more{k * i}" for i in range(40)]
+        assert words.encode_batch(texts) == WORDS.encode_batch(texts) and pieces.encode_batch(texts) == TABLE.encode_batch(texts)
+        assert words.known_bytes < 30_000 and pieces.known_bytes < 30_000
+
+
 # ---------------------------------------------------------------- packing
 
 
+def test_packing_is_reproducible(spark):
+    """The same rows in another order and other partitions give the same sequences and offsets."""
+    rows = [(k % 40 or None, f"text {k % 90} " * (k % 13)) for k in range(300)]
+    made = []
+    for some, parts in ((rows, 1), (rows[::-1], 7)):
+        df = spark.createDataFrame(some, "doc_id long, text string").repartition(parts)
+        made.append(Counter(map(str, packing.pack(df, BPE, length=64, group_bytes=3000).collect())))
+    assert made[0] == made[1]
+
+
+
 def brute_first_fit(lengths, capacity):
     room, bins = [], [0] * len(lengths)
     for i in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
