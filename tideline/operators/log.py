@@ -34,14 +34,26 @@ def check_rows(log: DataFrame) -> Column:
     )
 
 
+def _same_key(a: Column, b: Column, dtype: T.DataType) -> Column:
+    """Equal as encoded: nulls are alike, and floating-point numbers are told apart by their text, so -0.0 is not 0.0."""
+    if isinstance(dtype, T.StructType):
+        same = a.isNull() == b.isNull()
+        for f in dtype.fields:
+            same = same & _same_key(a.getField(f.name), b.getField(f.name), f.dataType)
+        return same
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return a.cast("string").eqNullSafe(b.cast("string"))
+    return a.eqNullSafe(b)
+
+
 def split_key_changes(log: DataFrame, old_key: Column) -> DataFrame:
     """Replace an update that changes the key by delete(old key), insert(new key), in that order.
 
     ``old_key`` is null where the old row is not known; the update then stays whole.
-    Keys are compared null-safely. ``seq`` is doubled to make room: the delete gets
+    Keys are compared as their encoded bytes would be. ``seq`` is doubled to make room: the delete gets
     2 seq, what follows it 2 seq + 1, and unsplit events 2 seq.
     """
-    moved = (F.col("kind") == "update") & old_key.isNotNull() & ~old_key.eqNullSafe(F.col("key"))
+    moved = (F.col("kind") == "update") & old_key.isNotNull() & ~_same_key(old_key, F.col("key"), log.schema["key"].dataType)
     delete = F.struct(F.lit(0).alias("step"), F.lit("delete").alias("kind"), old_key.alias("key"))
     insert = F.struct(F.lit(1).alias("step"), F.lit("insert").alias("kind"), F.col("key").alias("key"))
     same = F.struct(F.lit(0).alias("step"), F.col("kind").alias("kind"), F.col("key").alias("key"))
@@ -77,7 +89,7 @@ def schema_in_force(
         before = F.filter("__history", lambda s: F.struct(s["lsn"], s["seq"]) <= at)
         latest = F.try_element_at(before, F.lit(-1))["v"]
         return joined.withColumn(version, latest).drop("__relid", "__history")
-    marks = schemas.select("relid", "lsn", "seq", F.struct(F.col(version).alias("v")).alias("__mark"))
+    marks = schemas.filter(F.col("relid").isNotNull()).select("relid", "lsn", "seq", F.struct(F.col(version).alias("v")).alias("__mark"))
     both = rows.withColumn("__row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
     # A schema event goes before a row at its own position.
     order = Window.partitionBy("relid").orderBy("lsn", "seq", F.col("__row").asc_nulls_first())
@@ -111,13 +123,17 @@ FRAME_TYPE = (
 )
 
 
-def explode_frames(frames: DataFrame, column: str = "frame", keep: tuple[str, ...] = ("lsn",)) -> DataFrame:
+def explode_frames(
+    frames: DataFrame, column: str = "frame", keep: tuple[str, ...] = ("lsn",), faults: bool = False
+) -> DataFrame:
     """One row per message of each binary frame: ``keep``, ``seq`` and the message's fields.
 
-    Frames are decoded in Arrow batches; trailing bytes fail. An empty frame has no rows.
+    Frames are decoded in Arrow batches. An empty frame has no rows. A bad frame, such as one with
+    trailing bytes, fails; with ``faults`` it is one row without a kind, and a column ``fault`` says why.
     ``kind`` is the change-log kind of the tag.
     """
     fields = [*[T.StructField(f"frame_{c}", frames.schema[c].dataType) for c in keep], T.StructField("seq", T.IntegerType()), *FRAME_TYPE.fields]
+    fields += [T.StructField("fault", T.StringType())] if faults else []
     result = T.StructType(fields)
     names = {"keySchema": "key_schema", "rowSchema": "row_schema", "oldRow": "old_row", "newRow": "new_row"}
 
@@ -131,8 +147,16 @@ def explode_frames(frames: DataFrame, column: str = "frame", keep: tuple[str, ..
             rows = []
             kept = [batch.column(c).to_pylist() for c in keep]
             for i, frame in enumerate(batch.column(column).to_pylist()):
-                for seq, (tag, message) in enumerate(decode_frame(frame) if frame is not None else ()):
-                    row = {f"frame_{c}": kept[k][i] for k, c in enumerate(keep)}
+                at = {f"frame_{c}": kept[k][i] for k, c in enumerate(keep)}
+                try:
+                    decoded = decode_frame(frame) if frame is not None else ()
+                except ValueError as e:
+                    if not faults:
+                        raise
+                    rows.append(at | {"seq": 0, "fault": str(e)})
+                    continue
+                for seq, (tag, message) in enumerate(decoded):
+                    row = dict(at)
                     row |= {"seq": seq, "tag": tag} | {names.get(k, k): v for k, v in message.items()}
                     rows.append(row)
             yield pa.RecordBatch.from_arrays([pa.array([r.get(f.name) for r in rows], f.type) for f in arrow], schema=arrow)

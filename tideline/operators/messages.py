@@ -39,8 +39,9 @@ def deduplicate(messages: DataFrame) -> DataFrame:
 
 
 def in_order(messages: DataFrame) -> DataFrame:
-    """All messages of a key in one task, in log order; no order across keys is made."""
-    return messages.repartition("topic", "key").sortWithinPartitions("topic", "key", "lsn", "seq")
+    """All messages of a key in one task, in log order; no order across keys is made, and unkeyed ones are spread."""
+    spread = F.when(F.col("key").isNull(), F.xxhash64("lsn", "seq"))
+    return messages.repartition("topic", "key", spread).sortWithinPartitions("topic", "key", "lsn", "seq")
 
 
 def debug_lines(log: DataFrame, table: Column, key: Column, old: Column, new: Column) -> DataFrame:

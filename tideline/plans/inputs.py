@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.avro import encode_table
+from ..functions.wire import key_schema, row_schema, schema_json
 from ..sources.catalog import Table
 
 #: Key columns of every table; lineitem has none.
@@ -109,4 +112,35 @@ def schema_events(spark: SparkSession) -> DataFrame:
 
 
 NAMES = ("users", "crêpes", "9lives", "a.b", "person/name", "flobble-biscuits?whatisthetime/hahahaha", "z" * 63, "_ok", "Straße 1", "日本")
-LSNS = ("0/0", "42/BEEFCAFE", "1/FF", "7FFFFFFF/FFFFFFFF", "FFFFFFFF/FFFFFFFF")
+#: Positions as text, and as signed 64-bit numbers: fixed values.
+LSNS = (
+    ("0/0", 0), ("42/BEEFCAFE", 286671227646), ("1/FF", 4294967551), ("7FFFFFFF/FFFFFFFF", 9223372036854775807), ("FFFFFFFF/FFFFFFFF", -1),
+)
+
+
+def encoded_events(spark: SparkSession, sf_dir: str, change_at: int) -> DataFrame:
+    """events as an encoded event log: every tenth is a delete; from ``change_at`` on the table has another name and a column more."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e = e.select("*", (F.col("event_id") + 1).alias("lsn"), F.lit(0).alias("seq"), (F.expr("event_id div 10") + 1).alias("xid"))
+    kind = F.when(F.col("event_id") % 10 == 9, "delete").otherwise("insert")
+    e = e.select("*", kind.alias("kind"), F.lit(EVENTS_RELID).cast("long").alias("relid"))
+    head = ["lsn", "seq", "xid", "kind", "relid"]
+    out = None
+    for name, columns, rows in (
+        ("events", ["event_id", "user_id"], e.filter(F.col("event_id") < change_at)),
+        ("happenings", ["event_id", "user_id", "event_type"], e.filter(F.col("event_id") >= change_at)),
+    ):
+        schema = T.StructType([e.schema[c] for c in columns])
+        key = schema_json(key_schema(f"{name}_pkey", schema, ["event_id"]))
+        value = schema_json(row_schema(name, schema))
+        with_row = encode_table(rows, name, columns, "new_row", keep=[*head, "event_id"])
+        with_key = encode_table(with_row, f"{name}_pkey", ["event_id"], "key", keep=[*head, "new_row"])
+        with_key = with_key.withColumn("new_row", F.when(F.col("kind") != "delete", F.col("new_row")))
+        first = 0 if name == "events" else change_at + 1
+        announced = spark.createDataFrame(
+            [(first, -1, (change_at // 10 + 1) if first else 1, "schema", EVENTS_RELID, key, value)],
+            "lsn long, seq int, xid long, kind string, relid long, key_schema string, row_schema string",
+        )
+        part = with_key.unionByName(announced, allowMissingColumns=True)
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -15,11 +15,15 @@ from ..functions.tagged_json import json_column
 from ..operators import compact, log, messages, transactions
 from ..policy import ErrorPolicy, apply_policy, dead_letters, row_fault
 from ..sources import catalog as cat
+from ..sources import changelog
+from ..sources.catalog import Table
 from ..sources.snapshot import encoded_snapshot, export, snapshot_log
 from ..streaming import compaction
+from ..streaming.replicate import Job
+from ..streaming.sinks import FolderSink
 from .inputs import (
     BY_NAME, CLASSES, EVENTS_RELID, INDEXES, LSNS, NAMES, NAMESPACES, SCHEMA_EVENTS, TABLES,
-    acknowledged, catalog, event_log, log_of_events, mutable_key_log, schema_events, table,
+    acknowledged, catalog, encoded_events, event_log, log_of_events, mutable_key_log, schema_events, table,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,11 +71,11 @@ SPLIT = """split AS (
 
 
 def _flat(logged: DataFrame, columns: list[str]) -> DataFrame:
-    return logged.select("lsn", "seq", "xid", "kind", "relid", "namespace", "table_name", *[F.col(f"new.{c}").alias(c) for c in columns])
+    return logged.select("lsn", "xid", "kind", "relid", "namespace", "table_name", *[F.col(f"new.{c}").alias(c) for c in columns])
 
 
 def _snapshot_sql(name: str, columns: str) -> str:
-    return f"""SELECT 0::BIGINT AS lsn, 0 AS seq, 0::BIGINT AS xid, 'insert' AS kind, {BY_NAME[name].relid}::BIGINT AS relid,
+    return f"""SELECT 0::BIGINT AS lsn, 0::BIGINT AS xid, 'insert' AS kind, {BY_NAME[name].relid}::BIGINT AS relid,
       'public' AS namespace, '{name}' AS table_name, {columns} FROM {name}"""
 
 
@@ -97,13 +101,20 @@ def snapshot_all_counts(spark, sf_dir):
     )
 
 
-@query("""SELECT table_name, count(*) AS n_rows, count(DISTINCT key) AS n_keys FROM (
-  SELECT 'region' AS table_name, r_regionkey::VARCHAR AS key FROM region UNION ALL SELECT 'nation', n_nationkey::VARCHAR FROM nation
-  UNION ALL SELECT 'lineitem', NULL FROM lineitem UNION ALL SELECT 'labels', doc_id::VARCHAR FROM labels) GROUP BY 1""")
+@query(" UNION ALL ".join(f"SELECT '{t.name}' AS table_name, count(*) AS n_rows, count(*) AS n_positions FROM {t.name}" for t in TABLES))
+def snapshot_positions(spark, sf_dir):
+    """No two rows of a snapshot share a position, equal rows included."""
+    logs = [snapshot_log(table(spark, sf_dir, t.name), t).select("table_name", "lsn", "seq") for t in TABLES]
+    rows = reduce(DataFrame.unionByName, [x.groupBy("table_name", "lsn", "seq").count() for x in logs])
+    return rows.groupBy("table_name").agg(F.sum("count").alias("n_rows"), F.count("*").alias("n_positions"))
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{t.name}' AS table_name, count(*) AS n_rows, "
+    + (f"count(DISTINCT ({', '.join(t.key)}))" if t.key else "0::BIGINT") + f" AS n_keys FROM {t.name}" for t in TABLES))
 def export_tables(spark, sf_dir):
-    """Several tables, one of them unkeyed, exported into one stream of encoded rows."""
-    tables = [BY_NAME[n] for n in ("region", "nation", "lineitem", "labels")]
-    out = export(lambda n: table(spark, sf_dir, n), tables, "json", allow_unkeyed=True)
+    """All tables, one of them unkeyed, exported into one stream of encoded rows."""
+    out = export(lambda n: table(spark, sf_dir, n), list(TABLES), "json", allow_unkeyed=True)
     return out.groupBy("table_name").agg(F.count("*").alias("n_rows"), F.countDistinct("key").alias("n_keys"))
 
 
@@ -142,10 +153,34 @@ def messages_upsert_tombstone(spark, sf_dir):
     return messages.to_messages(event_log(spark, sf_dir), F.col("user_id"), F.col("props"), F.lit("events"))
 
 
-@query("""SELECT 'lineitem' AS topic, NULL::VARCHAR AS key, l_orderkey AS value, 0::BIGINT AS xid, 0::BIGINT AS lsn, 0 AS seq FROM lineitem""")
+@query("SELECT 'lineitem' AS topic, NULL::VARCHAR AS key, 0::BIGINT AS xid, 0::BIGINT AS lsn, lineitem.* FROM lineitem")
 def messages_unkeyed(spark, sf_dir):
     logged = snapshot_log(table(spark, sf_dir, "lineitem"), BY_NAME["lineitem"])
-    return messages.to_messages(logged, F.lit(None).cast("string"), F.col("new.l_orderkey"), F.lit("lineitem"))
+    out = messages.to_messages(logged, F.lit(None).cast("string"), F.col("new"), F.lit("lineitem"))
+    return messages.deduplicate(out).select("topic", "key", "xid", "lsn", "value.*")
+
+
+@query("""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus, count(*) AS copies FROM lineitem GROUP BY ALL""")
+def snapshot_messages_unkeyed(spark, sf_dir):
+    """An unkeyed table through the replication job into a folder and back: no row is lost, equal ones included."""
+    work = work_folder(spark)
+    sink = FolderSink(f"{work}/topics")
+    Job(sink, f"{work}/checkpoint", form="json", allow_unkeyed=True).snapshot(lambda n: table(spark, sf_dir, n), [BY_NAME["lineitem"]])
+    part = lambda c, kind, to: F.get_json_object("value", f"$.{c}.{kind}").cast(to).alias(c)
+    longs = [part(c, "long", "long") for c in ("l_orderkey", "l_partkey", "l_suppkey")]
+    texts = [part(c, "string", "string") for c in ("l_returnflag", "l_linestatus")]
+    rows = sink.read(spark).select(*longs, part("l_linenumber", "int", "int"), *texts)
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("copies"))
+
+
+@query("SELECT p::INTEGER AS partition, true AS fair FROM range(8) t(p)")
+def unkeyed_spread(spark, sf_dir):
+    """Rows without a key spread over the partitions: each has its share, within a fifth."""
+    logged = snapshot_log(table(spark, sf_dir, "lineitem"), BY_NAME["lineitem"])
+    sent = messages.to_messages(logged, F.lit(None).cast("string"), F.col("new.l_orderkey"), F.lit("lineitem"), 8)
+    counts = sent.groupBy("partition").agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0]
+    return counts.select("partition", F.col("n").between(total / 8 * 0.8, total / 8 * 1.2).alias("fair"))
 
 
 @query(f"WITH {L1} SELECT kind, count(*) AS n FROM l1 WHERE kind <> 'delete' GROUP BY 1")
@@ -156,10 +191,22 @@ def messages_unkeyed_deletes(spark, sf_dir):
     return out.groupBy(F.col("value").alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {L1} SELECT lsn, seq, kind || ' events key=' || user_id || CASE WHEN kind <> 'delete' THEN ' new=' || event_type ELSE '' END AS line FROM l1""")
+@query(f"""WITH {L1} SELECT lsn, seq, kind || ' events key=' || user_id || CASE WHEN kind = 'update' THEN ' old=u' || user_id ELSE '' END
+    || CASE WHEN kind <> 'delete' THEN ' new=' || event_type ELSE '' END AS line FROM l1
+  UNION ALL SELECT min(lsn), -1, 'begin xid=' || xid FROM l1 GROUP BY xid UNION ALL SELECT max(lsn), 9, 'commit xid=' || xid FROM l1 GROUP BY xid
+  UNION ALL SELECT 0, 0, 'schema events'""")
 def debug_print(spark, sf_dir):
-    kept = F.when(F.col("kind") != "delete", F.col("event_type"))
-    return messages.debug_lines(event_log(spark, sf_dir), F.lit("events"), F.col("user_id").cast("string"), F.lit(None).cast("string"), kept)
+    """A line for every kind of event: brackets, schemas, rows with old and new."""
+    rows = event_log(spark, sf_dir)
+    xids = rows.groupBy("xid").agg(F.min("lsn").alias("a"), F.max("lsn").alias("z"))
+    begin = xids.select("xid", F.col("a").alias("lsn"), F.lit(-1).alias("seq"), F.lit("begin").alias("kind"))
+    commit = xids.select("xid", F.col("z").alias("lsn"), F.lit(9).alias("seq"), F.lit("commit").alias("kind"))
+    schema = spark.createDataFrame([(0, 0, 0, "schema")], "xid long, lsn long, seq int, kind string")
+    for more in (begin, commit, schema):
+        rows = rows.unionByName(more, allowMissingColumns=True)
+    old = F.when(F.col("kind") == "update", F.concat(F.lit("u"), "user_id"))
+    new = F.when(F.col("kind") != "delete", F.col("event_type"))
+    return messages.debug_lines(rows, F.lit("events"), F.col("user_id").cast("string"), old, new)
 
 
 # ---------------------------------------------------------------- compaction and splitting
@@ -296,9 +343,9 @@ def topic_names(spark, sf_dir):
     return joined.select("r_name", "n_name", topic.alias("topic"), naming.subject_column(plain, "key").alias("subject"))
 
 
-@query(f"SELECT * FROM (VALUES {values([(t, v - 2**64 if v >= 2**63 else v, t) for t, v in ((x, naming.parse_lsn(x)) for x in LSNS)])}) t(text, lsn, again)")
+@query(f"SELECT * FROM (VALUES {values((t, n, t) for t, n in LSNS)}) t(text, lsn, again)")
 def lsn_roundtrip(spark, sf_dir):
-    d = spark.createDataFrame([(x,) for x in LSNS], "text string").withColumn("lsn", naming.parse_lsn_column(F.col("text")))
+    d = spark.createDataFrame([(t,) for t, _ in LSNS], "text string").withColumn("lsn", naming.parse_lsn_column(F.col("text")))
     return d.withColumn("again", naming.format_lsn_column(F.col("lsn")))
 
 
@@ -329,13 +376,15 @@ def datetime_parts(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, year(o_orderdate)::INT AS year, month(o_orderdate)::INT AS month, day(o_orderdate)::INT AS day,
-  0 AS zone_offset, (epoch_us(o_orderdate) % 86400000000)::BIGINT AS time_micros FROM orders""")
+  0 AS zone_offset, 19800 AS east, -25200 AS west, (epoch_us(o_orderdate) % 86400000000)::BIGINT AS time_micros FROM orders""")
 def date_and_time(spark, sf_dir):
     ts = F.col("o_orderdate")
     parts = temporal.date_parts(F.to_date(ts))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", parts["year"].alias("year"), parts["month"].alias("month"), parts["day"].alias("day"),
-        temporal.zone_offset(ts.cast("timestamp")).cast("int").alias("zone_offset"), temporal.time_micros(ts).alias("time_micros"),
+        *[temporal.zone_offset(ts.cast("timestamp"), zone).cast("int").alias(name)
+          for name, zone in (("zone_offset", "UTC"), ("east", "Asia/Kolkata"), ("west", "America/Phoenix"))],
+        temporal.time_micros(ts).alias("time_micros"),
     )
 
 
@@ -380,15 +429,19 @@ def json_messages_conversations(spark, sf_dir):
     return encoded_snapshot(table(spark, sf_dir, "conversations"), BY_NAME["conversations"]).select("key", "value")
 
 
-def _json_dates_sql() -> str:
+def _json_orders_sql() -> str:
     parts = ",".join(f'"{p}":\' || {p}(o_orderdate) || \'' for p in ("year", "month", "day", "hour", "minute", "second"))
     micro = "',\"micro\":' || (epoch_us(o_orderdate) % 1000000)::BIGINT || '"
-    return f"""SELECT o_orderkey, '{{"o_orderkey":{{"long":' || o_orderkey || '}},"o_orderdate":{{"tideline.datatypes.DateTime":{{{parts}' || {micro}}}}}}}' AS value FROM orders"""
+    plain = lambda c, kind: f'"{c}":{{{{"{kind}":\' || {c} || \'}}}}'.replace("{{", "{").replace("}}", "}")
+    text = lambda c: f'"{c}":{{{{"string":\' || to_json({c}) || \'}}}}'.replace("{{", "{").replace("}}", "}")
+    date = f'"o_orderdate":{{"tideline.datatypes.DateTime":{{{parts}\' || {micro}}}}}'
+    fields = [plain("o_orderkey", "long"), plain("o_custkey", "long"), text("o_orderstatus"), plain("o_totalprice", "double"), date, text("o_orderpriority")]
+    return f"SELECT o_orderkey, '{{{','.join(fields)}}}' AS value FROM orders"
 
 
-@query(_json_dates_sql())
+@query(_json_orders_sql())
 def json_messages_orders(spark, sf_dir):
-    df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    df = table(spark, sf_dir, "orders")
     return df.select("o_orderkey", json_column(df.schema, df.columns).alias("value"))
 
 
@@ -404,9 +457,10 @@ _VARINT = """CASE WHEN z < 128 THEN printf('%02X', z) WHEN z < 16384 THEN printf
   ELSE printf('%02X%02X%02X%02X', z & 127 | 128, z >> 7 & 127 | 128, z >> 14 & 127 | 128, z >> 21) END"""
 
 
-@query(f"SELECT doc_id, '02' || {_VARINT} || '02' || printf('%02X', toxic * 2) AS value FROM (SELECT doc_id, toxic, doc_id * 2 AS z FROM labels)")
+@query(f"""SELECT doc_id, '02' || {_VARINT} || coalesce('02' || printf('%02X', quality * 2), '00') || coalesce('02' || printf('%02X', toxic * 2), '00') AS value
+  FROM (SELECT doc_id, quality, toxic, doc_id * 2 AS z FROM labels)""")
 def avro_labels_hex(spark, sf_dir):
-    df = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    df = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return avro.encode_table(df, "labels", keep=["doc_id"]).select("doc_id", F.hex("value").alias("value"))
 
 
@@ -488,6 +542,16 @@ def unknown_relations(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
+        base = tempfile.mkdtemp(prefix="tideline-")
+    return f"{base}/tideline/work-{uuid.uuid4().hex}"
+
+
 def is_folder(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isDirectory())
@@ -496,8 +560,7 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 @query(_COMPACT)
 def stream_compact_latest(spark, sf_dir):
     """The events table as a stream, compacted with state, must equal the batch result."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tideline-")
-    work = f"{base}/tideline/stream-{uuid.uuid4().hex}"
+    work = work_folder(spark)
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     # A stream source is a folder; the table may be one file in it.
     source = spark.readStream.schema(schema)
@@ -511,3 +574,49 @@ def stream_compact_latest(spark, sf_dir):
     query.awaitTermination()
     changes = spark.read.schema(state.schema).parquet(f"{work}/changes/*")
     return compaction.current_state(changes, ["user_id"], keep)
+
+
+def _followed(spark: SparkSession, log: DataFrame, transactions_a_batch: int) -> DataFrame:
+    """A log written to files and read as a stream of whole transactions."""
+    path = f"{work_folder(spark)}/log"
+    log.write.parquet(path)
+    changelog.register(spark)
+    reader = spark.readStream.format("changelog").schema(log.schema).option("path", path)
+    return reader.option("maxTransactions", transactions_a_batch).load()
+
+
+@query(ORACLES["compact_after_split"])
+def stream_split_messages(spark, sf_dir):
+    """A table whose keys change, followed as a stream: split, encoded, published to a folder, stopped and resumed, folded."""
+    work = work_folder(spark)
+    rows = _followed(spark, mutable_key_log(spark, sf_dir), 400)
+    sink = FolderSink(f"{work}/topics")
+    job = Job(sink, f"{work}/checkpoint", form="json")
+    stored = Table(EVENTS_RELID, "events", ["user_id", "event_type"])
+    for half in (rows.filter("lsn <= 300"), rows):
+        # The same query started twice: the second time it goes on where the first one stopped.
+        job.stream_table(half, stored).awaitTermination()
+    job.drop_checkpoint(spark)
+    job.stream_table(rows, stored).awaitTermination()  # delivered again, in full
+    live = compact.compact_messages(sink.read(spark))
+    part = lambda c, path, to: F.get_json_object(c, path).cast(to)
+    return live.select(
+        part("key", "$.user_id.long", "long").alias("user_id"), part("key", "$.event_type.string", "string").alias("event_type"),
+        part("value", "$.event_id.long", "long").alias("event_id"),
+    )
+
+
+CHANGE_AT = 501
+
+
+@query(f"""SELECT CASE WHEN event_id < {CHANGE_AT} THEN 'tide.events' ELSE 'tide.happenings' END AS topic,
+  '{{"event_id":{{"long":' || event_id || '}}}}' AS key, '{{"event_id":{{"long":' || event_id || '}},"user_id":{{"long":' || user_id || '}}' ||
+  CASE WHEN event_id < {CHANGE_AT} THEN '' ELSE ',"event_type":{{"string":"' || event_type || '"}}' END || '}}' AS value FROM events WHERE event_id % 10 <> 9
+  UNION ALL SELECT CASE WHEN event_id < {CHANGE_AT} THEN 'tide.events' ELSE 'tide.happenings' END, '{{"event_id":{{"long":' || event_id || '}}}}', NULL FROM events WHERE event_id % 10 = 9""")
+def schema_change_stream(spark, sf_dir):
+    """Encoded events of a table that is renamed and gets a column in mid-stream; rows go by the schema in force."""
+    work = work_folder(spark)
+    sink = FolderSink(f"{work}/topics")
+    job = Job(sink, f"{work}/checkpoint", form="json", topic_prefix="tide")
+    job.stream_events(_followed(spark, encoded_events(spark, sf_dir, CHANGE_AT), 300)).awaitTermination()
+    return sink.read(spark).select("topic", "key", "value")

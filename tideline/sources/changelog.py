@@ -4,14 +4,20 @@
     spark.read.format("changelog").schema(...).option("path", folder).load()
     spark.readStream.format("changelog").schema(...).option("path", folder).load()
 
-The log needs columns ``lsn`` and ``xid``; any others pass through. Stream offsets are log
+The log needs columns ``lsn`` and ``xid``; any others pass through. Transactions follow one another
+in the log, as a log in commit order has them. Stream offsets are log
 positions, ``{"lsn": n}``, and always lie at the end of a transaction, so a micro-batch holds
-whole transactions. Options:
+whole transactions. If the log has begin or commit events (column ``kind``), a transaction ends at its
+commit, and one without a commit is not read yet; else it ends with its last row.
+
+The driver reads the files' footers for the positions in them, and of the log itself only what the next
+``maxTransactions`` ends need. Options:
 
 * ``path``: the folder (or file) of Parquet files; must be visible to all executors
 * ``startingOffset``: read only what lies after this position (default -1: everything)
 * ``maxTransactions``: most transactions in one micro-batch (default 1000)
-* ``partitions``: parallel readers of a batch (default 4)
+* ``partitions``: parallel readers of a batch (default 4), of about as many rows each
+* ``commits``: ``events`` or ``rows`` say how transactions end; ``auto`` (default) looks at the first rows
 """
 
 from __future__ import annotations
@@ -51,6 +57,9 @@ class _Log:
         self.parts = self._number(lowered, "partitions", PARTITIONS)
         if self.limit < 1 or self.parts < 1:
             raise OptionError("maxTransactions and partitions must be positive")
+        self.commits = lowered.get("commits", "auto")
+        if self.commits not in ("auto", "events", "rows"):
+            raise OptionError(f"commits must be auto, events or rows, not {self.commits!r}")
         self.schema = schema
         missing = {"lsn", "xid"} - set(schema.names)
         if missing:
@@ -66,11 +75,34 @@ class _Log:
     def dataset(self) -> ds.Dataset:
         return ds.dataset(self.path, format="parquet")
 
+    def pieces(self, after: int) -> list[tuple[int, int, int, ds.Fragment]]:
+        """(first position, last position, rows, row group) of what lies after a position, by first position."""
+        out = []
+        for fragment in self.dataset().get_fragments():
+            for group in fragment.split_by_row_group():
+                info = group.row_groups[0]
+                known = (info.statistics or {}).get("lsn")
+                if known is None and info.num_rows:
+                    found = pc.min_max(group.to_table(columns=["lsn"]).column("lsn")).as_py()
+                    known = None if found["min"] is None else found
+                if known is not None and known["max"] > after:
+                    out.append((known["min"], known["max"], info.num_rows, group))
+        return sorted(out, key=lambda p: p[:3])
+
     def ranges(self, low: int, high: int) -> list[Range]:
-        span = high - low
-        n = max(1, min(self.parts, span))
-        cuts = [low + span * k // n for k in range(n + 1)]
-        return [Range(a, z) for a, z in zip(cuts, cuts[1:])]
+        """Cuts between row groups, so that every reader has about as many rows; inside one, by position."""
+        inside = [p for p in self.pieces(low) if p[0] <= high]
+        total = sum(n for _, _, n, _ in inside)
+        cuts, seen = [], 0
+        for first, last, n, _ in inside:
+            first, last = max(first - 1, low), min(last, high)
+            for k in range(1, self.parts):
+                wanted = total * k / self.parts
+                if seen <= wanted < seen + n:
+                    cuts.append(first + int((last - first) * (wanted - seen) / n))
+            seen += n
+        bounds = sorted({low, *[c for c in cuts if low < c < high], high})
+        return [Range(a, z) for a, z in zip(bounds, bounds[1:])]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -82,11 +114,53 @@ class _Log:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([pc.cast(batch.column(f.name), f.type) for f in target], schema=target)
 
-    def ends(self, after: int) -> list[tuple[int, int]]:
-        """(last position, xid) of the transactions after a position, in order."""
-        table = self.dataset().to_table(columns=["lsn", "xid"], filter=ds.field("lsn") > after)
-        ended = table.group_by("xid").aggregate([("lsn", "max")]).sort_by("lsn_max")
-        return list(zip(ended.column("lsn_max").to_pylist(), ended.column("xid").to_pylist()))
+    def _by_commit(self, pieces: list) -> bool:
+        """Whether commit events end the transactions."""
+        if self.commits != "auto":
+            return self.commits == "events"
+        if not pieces or "kind" not in pieces[0][3].physical_schema.names:
+            return False
+        head = pieces[0][3].head(1000, columns=["kind"]).column("kind")
+        return bool(pc.any(pc.is_in(head, pa.array(["begin", "commit"]))).as_py())
+
+    def ends(self, after: int, limit: int | None = None) -> list[tuple[int, int]]:
+        """(last position, xid) of the first ``limit`` transactions after a position, in order."""
+        pieces = self.pieces(after)
+        by_commit = self._by_commit(pieces)
+        wanted = ds.field("lsn") > after
+        if by_commit:
+            wanted &= ds.field("kind") == "commit"
+        last: dict[int, int] = {}
+        for k, (_, _, _, group) in enumerate(pieces):
+            table = group.to_table(columns=["lsn", "xid"], filter=wanted).group_by("xid").aggregate([("lsn", "max")])
+            for xid, lsn in zip(table.column("xid").to_pylist(), table.column("lsn_max").to_pylist()):
+                last[xid] = max(lsn, last.get(xid, lsn))
+            # What ends before the next row group begins cannot change any more.
+            if limit is not None and k + 1 < len(pieces):
+                settled = sorted(lsn for lsn in last.values() if lsn < pieces[k + 1][0])
+                if len(settled) > limit:  # one more: without commit events the last may go on
+                    break
+        return sorted((lsn, xid) for xid, lsn in last.items())[:limit]
+
+    def last_end(self, after: int) -> int | None:
+        """The end of the last whole transaction; only the last row groups are looked at."""
+        pieces = self.pieces(after)
+        if not self._by_commit(pieces):
+            return max((p[1] for p in pieces), default=None)
+        best = None
+        for _, high, _, group in sorted(pieces, key=lambda p: -p[1]):
+            if best is not None and high <= best:
+                break
+            found = group.to_table(columns=["lsn"], filter=(ds.field("lsn") > after) & (ds.field("kind") == "commit"))
+            if found.num_rows:
+                best = max(best or 0, pc.max(found.column("lsn")).as_py())
+        return best
+
+
+def log_end(path: str, after: int = -1) -> int:
+    """The position of the log's last whole transaction, or ``after``: where a snapshot taken now belongs."""
+    found = _Log({"path": path}, StructType().add("lsn", "long").add("xid", "long")).last_end(after)
+    return after if found is None else found
 
 
 class BatchReader(DataSourceReader):
@@ -94,8 +168,8 @@ class BatchReader(DataSourceReader):
         self.log = log
 
     def partitions(self) -> list[Range]:
-        last = self.log.ends(self.log.start)
-        return self.log.ranges(self.log.start, last[-1][0]) if last else [Range(0, -1)]
+        last = self.log.last_end(self.log.start)
+        return self.log.ranges(self.log.start, last) if last is not None else [Range(0, -1)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         return self.log.read(partition)
@@ -113,7 +187,7 @@ class StreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict[str, int]:
         """The end of the last transaction to read now; advances by ``maxTransactions`` at most."""
         after = self.log.start if self.at is None else self.at
-        ends = self.log.ends(after)[: self.log.limit]
+        ends = self.log.ends(after, self.log.limit)
         self.at = ends[-1][0] if ends else after
         return {"lsn": self.at}
 

@@ -1,4 +1,4 @@
-"""Consistent snapshots as change logs: every row an insert at position 0 of transaction 0."""
+"""Consistent snapshots as change logs: every row an insert at log position 0 of transaction 0."""
 
 from __future__ import annotations
 
@@ -14,15 +14,16 @@ from .catalog import CatalogError, Table
 
 
 def snapshot_log(df: DataFrame, table: Table) -> DataFrame:
-    """Typed change log of one table. ``seq`` is 0: a snapshot has no order of its own.
+    """Typed change log of one table. ``seq`` numbers the rows; it is their place in the scan, not an order.
 
+    The numbers tell rows apart that are equal in all columns, and computing a task again gives the same ones.
     The new row is the struct of all columns; key columns are taken from it. A
     projection only: column pruning and filters reach the scan.
     """
     key = F.struct(*table.key) if table.key else F.lit(None)
     return df.select(
         F.lit(0).cast("long").alias("lsn"),
-        F.lit(0).alias("seq"),
+        F.monotonically_increasing_id().alias("seq"),
         F.lit(0).cast("long").alias("xid"),
         F.lit("insert").alias("kind"),
         F.lit(table.relid).cast("long").alias("relid"),

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from pyspark.sql.streaming import StreamingQueryListener
+
 from ..policy import ErrorPolicy, handle
 
 
@@ -56,3 +58,24 @@ def dispatch(handler: Handler, policy: ErrorPolicy = ErrorPolicy.EXIT) -> Callab
             batch.unpersist()
 
     return call
+
+
+class Keepalive(StreamingQueryListener):
+    """Calls ``on_keepalive`` while a query has nothing to read: an idle source makes no batch.
+
+        spark.streams.addListener(Keepalive(handler))
+
+    The batch number given is -1, as there is none.
+    """
+
+    def __init__(self, handler: Handler):
+        self.handler = handler
+
+    def onQueryStarted(self, event: object) -> None: ...
+
+    def onQueryProgress(self, event: object) -> None: ...
+
+    def onQueryTerminated(self, event: object) -> None: ...
+
+    def onQueryIdle(self, event: object) -> None:
+        self.handler.on_keepalive(-1)

@@ -16,6 +16,7 @@ from ..policy import MAX_ROW_BYTES, ErrorPolicy, handle
 from ..registry import Registry
 from ..sources.catalog import Table, CatalogError
 from ..sources.snapshot import encoded_snapshot
+from .publish import EventPublisher, typed_messages
 from .sinks import TopicSink, batch_writer
 
 
@@ -55,6 +56,7 @@ class Job:
         return self.schema_ids[topic]
 
     def snapshot_messages(self, read: Callable[[str], DataFrame], table: Table) -> DataFrame:
+        """The table's rows as messages at position 0; ``seq`` tells equal rows apart and survives retries."""
         df = read(table.name)
         key_id, row_id = self.register(table, df)
         rows = encoded_snapshot(df, table, self.form)
@@ -65,24 +67,30 @@ class Job:
         return rows.select(
             F.lit(self.topic(table)).alias("topic"), key.alias("key"), value.alias("value"),
             F.lit(0).cast("long").alias("xid"), F.lit(0).cast("long").alias("lsn"),
-            F.xxhash64("key", "value").alias("seq"),
+            F.monotonically_increasing_id().alias("seq"),
         )
 
     def snapshot(self, read: Callable[[str], DataFrame], tables: list[Table]) -> int:
         """Publish all rows of all tables as batch -1 and return how many tables were published.
 
         Unkeyed tables stop the snapshot unless allowed. Under the log policy a table that
-        cannot be read or registered is skipped.
+        cannot be read or registered is skipped. A snapshot that stops takes back what it has
+        published, as far as the sink can.
         """
         if not self.allow_unkeyed and (loose := [t.name for t in tables if not t.key]):
             raise CatalogError(f"tables without a key: {', '.join(loose)}; allow unkeyed tables or give them a key")
         done = 0
         write = batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics)
+        begun: list[str] = []
+        spark = SparkSession.active()
         for table in tables:
             try:
+                begun.append(self.topic(table))
                 write(self.snapshot_messages(read, table), -1)
                 done += 1
             except Exception as e:  # noqa: BLE001  the policy decides about any fault of a table
+                if self.policy is ErrorPolicy.EXIT:
+                    self.sink.discard(spark, begun, -1)
                 handle(e, self.policy, f"snapshot of {table.name}")
         return done
 
@@ -98,6 +106,51 @@ class Job:
             .start()
         )
 
+    def stream_table(self, log: DataFrame, table: Table, start_lsn: int = 0, trigger: dict | None = None) -> StreamingQuery:
+        """Publish a streaming typed log of one table: rows checked, key changes split, keys and rows encoded."""
+        row = log.schema["new"].dataType
+        ids = (None, None)
+        if self.registry is not None:
+            key = schema_json(key_schema(table.key_index, row, table.key, table.namespace)) if table.key else None
+            ids = self.registry.register_table(self.topic(table), key, schema_json(row_schema(table.name, row, table.namespace)))
+        return self.stream(typed_messages(log, table, self.topic(table), self.form, ids, self.policy), start_lsn, trigger)
+
+    def stream_events(self, events: DataFrame, start_lsn: int = 0, trigger: dict | None = None) -> StreamingQuery:
+        """Publish a streaming event log of many tables (see :class:`EventPublisher`) after ``start_lsn``.
+
+        Schema events before that position still count, as rows after it are encoded by them. Dead
+        letters are logged by number.
+        """
+        publisher = EventPublisher(f"{self.checkpoint}/relations", self.form, self.registry, self.topic_prefix, self.policy)
+        write = batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics)
+
+        def publish(batch: DataFrame, batch_id: int) -> None:
+            messages, dead = publisher.messages(batch, batch_id)
+            write(messages.filter(F.col("lsn") > start_lsn), batch_id)
+            if self.policy is ErrorPolicy.LOG:
+                for row in dead.groupBy("error").count().orderBy("error").limit(100).collect():
+                    handle(ValueError(f"{row['error']} ({row['count']} rows)"), self.policy, "dead letters")
+
+        return (
+            events.writeStream.option("checkpointLocation", self.checkpoint)
+            .trigger(**(trigger or {"availableNow": True}))
+            .foreachBatch(publish)
+            .start()
+        )
+
+    # ------------------------------------------------------------ positions
+
+    def save_position(self, spark: SparkSession, lsn: int) -> None:
+        """Keep the log position that the snapshot belongs to, for this start and all restarts."""
+        spark.createDataFrame([(lsn,)], "lsn long").coalesce(1).write.mode("overwrite").parquet(f"{self.checkpoint}/snapshot")
+
+    def position(self, spark: SparkSession) -> int:
+        """The position kept by :meth:`save_position`, or 0."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.checkpoint}/snapshot/_SUCCESS")
+        if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            return 0
+        return spark.read.schema("lsn long").parquet(f"{self.checkpoint}/snapshot").first()["lsn"]
+
     def has_checkpoint(self, spark: SparkSession) -> bool:
         """True if an earlier run left a position to resume from (then no snapshot is taken)."""
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.checkpoint}/offsets")
@@ -112,12 +165,23 @@ class Job:
 def run(
     spark: SparkSession, job: Job, read: Callable[[str], DataFrame], tables: list[Table],
     messages: DataFrame | None = None, start_lsn: int = 0, skip_snapshot: bool = False,
+    log_end: Callable[[], int] | None = None, events: DataFrame | None = None,
 ) -> StreamingQuery | None:
-    """Snapshot (on the first start, unless skipped), then the stream if there is one."""
+    """Snapshot (on the first start, unless skipped), then the stream if there is one.
+
+    ``log_end`` tells the log's position: it is asked before the snapshot and kept, and the
+    stream starts after it, so that no change is missed and none before it is sent again. The stream is of
+    ready ``messages`` or of ``events``.
+    """
     if not skip_snapshot and not job.has_checkpoint(spark):
         try:
+            if log_end is not None:
+                job.save_position(spark, log_end())
             job.snapshot(read, tables)
         except Exception:
             job.drop_checkpoint(spark)
             raise
+    start_lsn = max(start_lsn, job.position(spark))
+    if events is not None:
+        return job.stream_events(events, start_lsn)
     return None if messages is None else job.stream(messages, start_lsn)

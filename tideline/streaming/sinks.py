@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from ..operators.messages import deduplicate
+from ..operators.messages import deduplicate, in_order
 from ..policy import ErrorPolicy, apply_policy, handle, row_fault
 
 
@@ -18,6 +18,10 @@ class TopicSink(ABC):
         """Make a batch durable. Returning is the acknowledgement of all its messages."""
 
 
+    def discard(self, spark: SparkSession, topics: list[str], batch_id: int) -> None:
+        """Take back what a batch has published of these topics, where the sink can."""
+
+
 class FolderSink(TopicSink):
     """One folder a topic, one sub-folder a batch.
 
@@ -30,7 +34,7 @@ class FolderSink(TopicSink):
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
         if self.by_key:
-            messages = messages.repartition("topic", "key").sortWithinPartitions("topic", "key", "lsn", "seq")
+            messages = in_order(messages)
         stamped = messages.withColumn("batch", F.lit(batch_id).cast("long"))
         (
             stamped.write.mode("overwrite")
@@ -39,6 +43,11 @@ class FolderSink(TopicSink):
             .parquet(self.path)
         )
 
+    def discard(self, spark: SparkSession, topics: list[str], batch_id: int) -> None:
+        for topic in topics:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/topic={topic}/batch={batch_id}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def read(self, spark: SparkSession) -> DataFrame:
         return deduplicate(spark.read.parquet(self.path))
 
@@ -50,7 +59,8 @@ class KafkaSink(TopicSink):
         self.servers, self.options = servers, options or {}
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
-        out = messages.select("topic", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+        numbered = ["partition"] if "partition" in messages.columns else []
+        out = messages.select("topic", F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), *numbered)
         writer = out.write.format("kafka").option("kafka.bootstrap.servers", self.servers)
         for k, v in self.options.items():
             writer = writer.option(f"kafka.{k}", v)
@@ -61,11 +71,19 @@ class KafkaSink(TopicSink):
 
 
 class ConsoleSink(TopicSink):
+    """A readable line for each message, in log order; at most ``rows`` of a batch."""
+
     def __init__(self, rows: int = 1000):
         self.rows = rows
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
-        messages.orderBy("lsn", "seq").show(self.rows, truncate=False)
+        shown = lambda c: F.when(F.col(c).isNull(), F.lit("null")).otherwise(
+            F.hex(c) if dict(messages.dtypes)[c] == "binary" else F.col(c).cast("string")
+        )
+        line = F.concat_ws(" ", F.concat(F.lit("xid="), "xid"), F.concat(F.lit("lsn="), "lsn"), "topic",
+                           F.concat(F.lit("key="), shown("key")), F.concat(F.lit("value="), shown("value")))
+        for row in in_order(messages).select("lsn", "seq", line.alias("line")).orderBy("lsn", "seq").limit(self.rows).collect():
+            print(row["line"])
 
 
 def batch_writer(
