@@ -163,4 +163,4 @@ def explode_frames(
 
     out = frames.select(*keep, column).mapInArrow(stage, result)
     kinds = F.array(*[F.lit(k) for k in ("begin", "commit", "schema", "insert", "update", "delete")])
-    return out.withColumn("kind", F.element_at(kinds, F.col("tag") + 1))
+    return out.withColumn("kind", F.when(F.col("tag").isNotNull(), F.get(kinds, F.col("tag"))))

@@ -162,10 +162,25 @@ class Job:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drain(start: Callable[[], StreamingQuery]) -> int:
+    """Start a query again and again until its source has nothing more, and count the starts that read something.
+
+    A Python source is asked for one end a start under ``availableNow``, so a start reads one batch of
+    ``maxTransactions``. Each start resumes from the checkpoint.
+    """
+    done = 0
+    while True:
+        query = start()
+        query.awaitTermination()
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            return done
+        done += 1
+
+
 def run(
     spark: SparkSession, job: Job, read: Callable[[str], DataFrame], tables: list[Table],
     messages: DataFrame | None = None, start_lsn: int = 0, skip_snapshot: bool = False,
-    log_end: Callable[[], int] | None = None, events: DataFrame | None = None,
+    log_end: Callable[[], int] | None = None, events: DataFrame | None = None, trigger: dict | None = None,
 ) -> StreamingQuery | None:
     """Snapshot (on the first start, unless skipped), then the stream if there is one.
 
@@ -183,5 +198,5 @@ def run(
             raise
     start_lsn = max(start_lsn, job.position(spark))
     if events is not None:
-        return job.stream_events(events, start_lsn)
-    return None if messages is None else job.stream(messages, start_lsn)
+        return job.stream_events(events, start_lsn, trigger)
+    return None if messages is None else job.stream(messages, start_lsn, trigger)

@@ -29,8 +29,8 @@ class FolderSink(TopicSink):
     (topic, lsn, seq), so at-least-once delivery is seen once.
     """
 
-    def __init__(self, path: str, by_key: bool = True):
-        self.path, self.by_key = path.rstrip("/"), by_key
+    def __init__(self, path: str, by_key: bool = True, options: dict[str, str] | None = None):
+        self.path, self.by_key, self.options = path.rstrip("/"), by_key, options or {}
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
         if self.by_key:
@@ -38,6 +38,7 @@ class FolderSink(TopicSink):
         stamped = messages.withColumn("batch", F.lit(batch_id).cast("long"))
         (
             stamped.write.mode("overwrite")
+            .options(**self.options)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("topic", "batch")
             .parquet(self.path)
