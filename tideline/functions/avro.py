@@ -1,8 +1,8 @@
 """Binary record encoding: zig-zag varints, little-endian floats, length-prefixed bytes, union indexes.
 
-Two encoders give the same bytes. :func:`encode_table` uses SQL functions for all types but floating
-point, whose bits SQL has no access to; one Arrow stage turns such columns into byte strings, whole
-columns at a time. :func:`encode_rows` encodes row by row in Python and also takes infinite dates.
+:func:`encode_table` and :func:`decode_rows` work on whole Arrow batches (see :mod:`.columnar`).
+:func:`encode_rows` gives the same bytes value by value and also takes infinite dates;
+:func:`decode_rows` goes that way for batches that hold some, or bytes that are damaged.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .temporal import date_parts, timestamp_parts
-from .wire import NAMED, SPECIAL, WITH_SPECIAL, row_schema, wire_kind
+from . import columnar
+from .wire import SPECIAL, WITH_SPECIAL, row_schema, wire_kind
 
 
 class TrailingBytes(ValueError):
@@ -241,10 +240,6 @@ def decode_frame(data: bytes) -> list[tuple[int, dict[str, Any]]]:
 # ---------------------------------------------------------------- SQL columns
 
 
-#: Bytes that the varint of a part of a date or time can need.
-PART_BYTES = {"year": 3, "month": 1, "day": 1, "hour": 1, "minute": 1, "second": 1, "micro": 3, "zoneOffset": 3}
-
-
 def varint_column(value: Column, most: int = 10) -> Column:
     """Zig-zag varint of an integer column, from shifts and byte strings.
 
@@ -263,66 +258,6 @@ def varint_column(value: Column, most: int = 10) -> Column:
     return F.unhex(F.concat(*out))
 
 
-def _prefixed(raw: Column) -> Column:
-    return F.concat(varint_column(F.octet_length(raw), 5), raw)
-
-
-def _value_column(col: Column, kind: str) -> Column:
-    if kind == "boolean":
-        return F.when(col, F.lit(b"\x01")).otherwise(F.lit(b"\x00"))
-    if kind in ("int", "long"):
-        return varint_column(col, 5 if kind == "int" else 10)
-    if kind == "bytes":
-        return _prefixed(col)
-    if kind == "string":
-        return _prefixed(col.cast("string").cast("binary"))
-    if kind in ("float", "double"):
-        return col  # already its bytes: see with_float_bytes
-    parts = {"Date": date_parts, "DateTime": timestamp_parts, "DateTimeTZ": lambda c: timestamp_parts(c, F.lit(0))}[kind](col)
-    return F.concat(*[varint_column(parts[f], PART_BYTES[f]) for f in NAMED[kind]])
-
-
-def with_float_bytes(df: DataFrame, columns: list[str], decimals: str = "double") -> DataFrame:
-    """``df`` with its floating-point ``columns`` (and decimals sent as doubles) as little-endian byte strings."""
-    kinds = {c: k for c in columns if (k := wire_kind(df.schema[c].dataType, decimals)) in ("float", "double")}
-    if not kinds:
-        return df
-    cast = df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
-    result = T.StructType([T.StructField(f.name, T.BinaryType()) if f.name in kinds else f for f in cast.schema.fields])
-    width = {"float": ("<f4", 4), "double": ("<f8", 8)}
-
-    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for name in batch.schema.names:
-                column = batch.column(name)
-                if name in kinds:
-                    dtype, size = width[kinds[name]]
-                    raw = pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False).astype(dtype).tobytes()
-                    fixed = pa.Array.from_buffers(pa.binary(size), len(column), [None, pa.py_buffer(raw)])
-                    column = pc.if_else(pc.is_valid(column), fixed.cast(pa.binary()), pa.scalar(None, pa.binary()))
-                out.append(column)
-            yield pa.RecordBatch.from_arrays(out, batch.schema.names)
-
-    return cast.mapInArrow(stage, result)
-
-
-def encode_column(df_schema: T.StructType, columns: list[str], decimals: str = "double") -> Column:
-    """Encoded record of ``columns`` as a binary column.
-
-    ``df_schema`` gives the columns' own types; floating-point ones must have been
-    turned into bytes by :func:`with_float_bytes`.
-    """
-    if not columns:
-        return F.lit(b"\x00")  # the dummy field, null
-    out = []
-    for name in columns:
-        kind = wire_kind(df_schema[name].dataType, decimals)
-        col = F.col(f"`{name}`")
-        out.append(F.when(col.isNull(), F.lit(b"\x00")).otherwise(F.concat(F.lit(b"\x02"), _value_column(col, kind))))
-    return F.concat(*out)
-
-
 # ---------------------------------------------------------------- Arrow stage
 
 
@@ -382,10 +317,22 @@ def encode_table(
     """``keep`` columns of ``df`` and the encoded record of ``columns`` (all if None) in column ``out``."""
     columns = df.columns if columns is None else columns
     keep = [] if keep is None else keep
-    kept = [F.col(f"`{c}`").alias(f"__keep{i}") for i, c in enumerate(keep)]
-    ready = with_float_bytes(df.select(*kept, *[F.col(f"`{c}`") for c in columns]), columns, decimals)
-    record = encode_column(df.schema, columns, decimals).alias(out)
-    return ready.select(*[F.col(f"__keep{i}").alias(c) for i, c in enumerate(keep)], record)
+    kinds = [wire_kind(df.schema[c].dataType, decimals) for c in columns]
+    # Text and wall-clock times are made by the engine; instants are sent in the session's zone.
+    casts = {"string": "string", "DateTimeTZ": "timestamp_ntz", "double": "double"}
+    fields = [F.col(f"`{c}`").cast(casts[k]) if k in casts else F.col(f"`{c}`") for c, k in zip(columns, kinds)]
+    source = df.select(
+        *[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], *[f.alias(f"c{i}") for i, f in enumerate(fields)],
+        *([] if keep or columns else [F.lit(0).alias("none")]),
+    )
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = columnar.encode([batch.column(f"c{i}") for i in range(len(kinds))], kinds, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*[batch.column(f"k{i}") for i in range(len(keep))], made], [*keep, out])
+
+    result = T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.BinaryType())])
+    return source.mapInArrow(stage, result)
 
 
 def decode_rows(df: DataFrame, schema: dict[str, Any], result: T.StructType, column: str = "value") -> DataFrame:
@@ -408,7 +355,15 @@ def decode_rows(df: DataFrame, schema: dict[str, Any], result: T.StructType, col
         from pyspark.sql.pandas.types import to_arrow_schema
 
         made, arrow = json.loads(blob), to_arrow_schema(result)
+        kinds = columnar.flat_kinds(made)
         for batch in batches:
+            if kinds is not None:
+                try:
+                    cols = columnar.decode(batch.column(0), kinds, [f.type for f in arrow])
+                    yield pa.RecordBatch.from_arrays(cols, schema=arrow)
+                    continue
+                except (columnar.OtherBranch, columnar.Damaged):
+                    pass  # value by value: infinite dates, or the message that says which value is damaged
             rows = [None if v is None else decode_whole(made, v) for v in batch.column(0).to_pylist()]
             cols = [
                 pa.array([None if r is None else back(r[n], f.dataType) for r in rows], arrow.field(i).type)
