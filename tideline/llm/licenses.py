@@ -196,12 +196,15 @@ def identifiers_of(text: Column, known: Mapping[str, Sequence[str]], keywords: S
     table = _table(known)
     speaks = r"\b(" + "|".join(keywords) + r")\b"
     forms = {form for some in known.values() for form in some}
-    marks = "|".join(sorted({*keywords, *(f.split()[0] for f in forms if not any(k in f.split() for k in keywords))}))
+    # Of a form without any keyword its first three words tell where it may be.
+    begins = [f.split()[:3] for f in forms if not any(k in f.split() for k in keywords)]
+    spaced = sorted({*keywords, *(" ".join(b) for b in begins)})
+    marks = "|".join(sorted({*keywords, *(ODD.join(b) for b in begins)}))
     named = F.transform(
-        F.filter(sentences_of(text, known), lambda s: s.rlike(r"\b(" + marks + r")\b")),
+        F.filter(sentences_of(text, known), lambda s: s.rlike(r"\b(" + "|".join(spaced) + r")\b")),
         lambda s: F.coalesce(F.try_element_at(table, s), F.when(s.rlike(speaks), F.lit(UNKNOWN))),
     )
-    # Nearly all texts hold none of these words; only the others are cut into sentences.
+    # Nearly all texts hold none of these; only the others are cut into sentences.
     return F.when(text.rlike(marks), F.filter(named, lambda x: x.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
