@@ -65,11 +65,13 @@ WITH rules(rule, rhost, rpath, what) AS (VALUES {rules}),
 p AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
 o AS (SELECT host, greatest(1 - quality, toxic) AS bad FROM p JOIN labels l ON l.doc_id = p.page_id WHERE host <> ''),
-t AS (SELECT host, string_split(host, '.') AS parts, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS y FROM o WHERE bad IS NOT NULL GROUP BY host),
+t AS (SELECT host, string_split(host, '.') AS parts, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS y FROM o WHERE bad IS NOT NULL GROUP BY host
+      UNION ALL SELECT DISTINCT host, string_split(host, '.'), 0, 0 FROM p WHERE host <> '' AND host NOT IN (SELECT host FROM o WHERE bad IS NOT NULL)),
 h AS (SELECT host, n, y, len(parts) AS k, array_to_string(parts[-2:], '.') IN ({suffixes}) AS two,
         array_to_string(parts[-1:], '.') AS s1, array_to_string(parts[-2:], '.') AS s2, array_to_string(parts[-3:], '.') AS s3 FROM t),
-hosts AS (SELECT host, n, y, CASE WHEN two THEN s2 ELSE s1 END AS suffix,
+every AS (SELECT host, n, y, CASE WHEN two THEN s2 ELSE s1 END AS suffix,
         CASE WHEN regexp_matches(host, '^[0-9.]+(:[0-9]+)?$') THEN host WHEN two THEN s3 ELSE s2 END AS domain FROM h),
+hosts AS (SELECT * FROM every WHERE n > 0),
 d0 AS (SELECT suffix, domain, sum(n) AS n, sum(y) AS y FROM hosts GROUP BY ALL),
 s0 AS (SELECT suffix, sum(n) AS n, sum(y) AS y, (SELECT (sum(y) + 1) / (sum(n) + 2) FROM hosts) AS p FROM d0 GROUP BY suffix),
 {level("s1", "s0")},
@@ -77,7 +79,10 @@ d1 AS (SELECT d0.*, s1.q AS p FROM d0 JOIN s1 USING (suffix)),
 {level("d2", "d1")},
 h1 AS (SELECT hosts.*, d2.q AS p FROM hosts JOIN d2 USING (suffix, domain)),
 {level("h2", "h1")},
-low AS (SELECT host, greatest(q - {url_filter.Z} * sqrt(q * (1 - q) / (m + n + 1)), 0) AS low FROM h2),
+low AS (SELECT host, greatest(q - {url_filter.Z} * sqrt(q * (1 - q) / (m + n + 1)), 0) AS low FROM h2
+        UNION ALL SELECT host, greatest(q - {url_filter.Z} * sqrt(q * (1 - q) / (m + 1)), 0) FROM (
+          SELECT host, coalesce(d2.q, s1.q, (SELECT (sum(y) + 1) / (sum(n) + 2) FROM hosts)) AS q, (SELECT max(m) FROM h2) AS m
+          FROM every LEFT JOIN d2 USING (suffix, domain) LEFT JOIN s1 ON s1.suffix = every.suffix WHERE every.n = 0)),
 fits AS (SELECT page_id, arg_max(rule, strlen(rule)) AS rule, arg_max(what, strlen(rule)) AS what
          FROM p JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.what, CASE WHEN low > {url_filter.BLOCK_ABOVE} THEN 'block' ELSE 'allow' END) AS verdict
