@@ -204,6 +204,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_large_stars(spark):
+    """Two centres with very many neighbours, met by a chain."""
+    edges = [(9, k) for k in range(100, 3100)] + [(k, 5) for k in range(5000, 8000)] + [(8000 + k, 8001 + k) for k in range(40)]
+    edges += [(3099, 8040)]
+    got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
+    parent, find = brute_components(range(8050))
+    for u, v in edges:
+        parent[find(u)] = find(v)
+    groups = {}
+    for x in {x for e in edges for x in e}:
+        groups.setdefault(find(x), []).append(x)
+    assert got == {x: min(g) for g in groups.values() for x in g}
+
+
 TEXTS = [
     (5, "the quick brown fox jumps over the lazy dog again"), (3, "THE quick brown fox  jumps over the lazy dog again"), (9, ""), (8, None),
     (7, " \n"), (1, "something else entirely here"), (2, "word"), (2, "word"), (None, "word"),

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from tideline.llm import simhash
 from tideline.llm.simhash import similar_documents
 
 WORDS = [f"w{i}" for i in range(4000)]
@@ -105,3 +106,14 @@ def test_dropped_documents_have_a_partner(spark):
     close = [p for p, s in similar_pairs(texts).items() if s >= 0.8]
     assert close and not [p for p in close if p[0] in kept and p[1] in kept]
     assert set(texts) - kept <= {d for p in close for d in p}
+
+
+def test_hot_shingles_lose_no_pair(spark, monkeypatch):
+    """Every shared shingle hot: rows are joined by salts, and the classes stay the same."""
+    monkeypatch.setattr(simhash, "HOT_LEAST", 1)
+    monkeypatch.setattr(simhash, "HOT_SHINGLE", 0)
+    rng = np.random.default_rng(8)
+    docs = pairs()
+    hub = [WORDS[i] for i in rng.integers(0, 4000, 120)]
+    docs |= {1000 + k: near_copy(rng, hub, "edited", 0.1) for k in range(150)}
+    assert found(spark, docs) == brute_classes(docs)

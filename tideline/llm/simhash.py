@@ -47,6 +47,12 @@ HOT_SHARE = 1 / 256
 SET_BYTES = 1 << 20
 PART_SHINGLES = 1_000_000
 HUBS = 8
+#: A shingle in over this share (and number) of a sample of about so many rows is hot: its rows are dealt over
+#: SALTS tasks, and it comes last in the order of shingles. Neither changes which pairs are found. At most
+#: 256 times a document's mean shingles are hot.
+HOT_SHINGLE, HOT_LEAST, HOT_SAMPLE = 1 / 256, 32, 32_768
+SALTS = 4096
+HOT_RANK = 2**62
 SET = "__tl_group long, __tl_row long, __tl_v long, __tl_n long, __tl_set binary"
 SET_NAMES = ["__tl_group", "__tl_row", "__tl_v", "__tl_n", "__tl_set"]
 LINK = "a long, b long, u long, v long"
@@ -311,24 +317,48 @@ def _shingle_sets(words: int, exploded: bool):
     return stage
 
 
+def _hot_shingles(rows: DataFrame, words: int) -> DataFrame:
+    """Shingles that very many rows share, as a sample tells."""
+    n = rows.count()
+    every = max(1, n // HOT_SAMPLE)
+    some = rows.filter(F.pmod(F.xxhash64("__tl_row", F.lit("sample")), F.lit(every)) == 0)
+    tokens = some.select("__tl_row", "text").mapInArrow(_shingle_sets(words, True), "__tl_token long, __tl_row long, __tl_n long")
+    counts = tokens.groupBy("__tl_token").count()
+    return materialise(counts.filter(F.col("count") > max(HOT_LEAST, HOT_SHINGLE * n / every)).select("__tl_token"), "hot")
+
+
 def _groups(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """``(node, component)``: groups of ``rows(__tl_row, text)`` such that similar rows share a group.
 
     In one order of all shingles, two sets of similarity s share a shingle among the first
     n - ceil(s * n) + 1 of each (n its size). The order here is by document frequency, so shingles
-    of one row only come first, and a row that has enough of those is like no other.
+    of one row only come first, and a row that has enough of those is like no other. Hot shingles
+    come last; their rows are never in one task.
     """
+    hot = _hot_shingles(rows, words)
     tokens = rows.select("__tl_row", "text").mapInArrow(_shingle_sets(words, True), "__tl_token long, __tl_row long, __tl_n long")
-    shared = tokens.withColumn("__tl_df", F.count("*").over(Window.partitionBy("__tl_token"))).filter("__tl_df > 1")
+    tokens = tokens.join(F.broadcast(hot.withColumn("__tl_hot", F.lit(True))), "__tl_token", "left")
+    salt = F.pmod(F.xxhash64("__tl_row"), F.lit(SALTS)).cast("int")
+    spread = Window.partitionBy("__tl_token", "__tl_salt")
+    tokens = tokens.withColumn("__tl_salt", F.when(F.col("__tl_hot"), salt).otherwise(-1))
+    df = F.when(F.col("__tl_hot"), F.lit(HOT_RANK)).otherwise(F.count("*").over(spread))
+    shared = tokens.withColumn("__tl_df", df).filter("__tl_df > 1").drop("__tl_hot", "__tl_salt")
     own = Window.partitionBy("__tl_row")
     shared = shared.withColumn("__tl_k", F.count("*").over(own))
     first = F.col("__tl_n") - F.ceil(similarity * F.col("__tl_n") - 1e-9) + 1
     shared = shared.filter(F.col("__tl_k") > F.col("__tl_n") - first)
     shared = shared.withColumn("__tl_at", F.row_number().over(own.orderBy("__tl_df", "__tl_token")))
-    heads = shared.filter(F.col("__tl_at") <= first - F.col("__tl_n") + F.col("__tl_k")).select("__tl_token", "__tl_row")
-    least = F.min("__tl_row").over(Window.partitionBy("__tl_token"))
-    edges = materialise(heads.select(F.col("__tl_row").alias("u"), least.alias("v")).filter("u <> v").distinct(), "heads")
-    return components(edges)
+    heads = shared.filter(F.col("__tl_at") <= first - F.col("__tl_n") + F.col("__tl_k"))
+    heads = heads.withColumn("__tl_salt", F.when(F.col("__tl_df") == HOT_RANK, salt).otherwise(-1))
+    token = F.when(F.col("__tl_salt") >= 0, F.col("__tl_token")).alias("__tl_token")
+    joined = heads.select(token, F.col("__tl_row").alias("u"), F.min("__tl_row").over(spread).alias("v"))
+    heads = materialise(joined.filter("u <> v OR __tl_token IS NOT NULL").distinct(), "heads")
+    # The rows of a hot shingle are joined within each salt; here the salts are, at most SALTS rows a shingle.
+    tops = heads.filter("__tl_token IS NOT NULL").select("__tl_token", F.col("v").alias("u")).distinct()
+    tops = tops.select("u", F.min("u").over(Window.partitionBy("__tl_token")).alias("v"))
+    out = components(heads.select("u", "v").unionAll(tops))
+    drop(heads, hot)
+    return out
 
 
 def link_sets(sets: list[np.ndarray], similarity: float, left: np.ndarray | None = None) -> list[tuple[int, int]]:
