@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import chain
 
 import numpy as np
 import regex
 
-#: Bytes that the remembered words, and the remembered parts, may take up, each.
-CACHE_BYTES = 48 << 20
+#: Bytes that the remembered words, and the remembered parts, may take up. Words save more work.
+CACHE_BYTES = 112 << 20
+PART_BYTES = 8 << 20
 #: Bytes of a remembered word besides its letters and ids: two objects and a table slot.
 ENTRY_BYTES = 200
 #: Longer words go to the library: the rounds below merge one pair of each word at a time.
@@ -56,13 +58,14 @@ class WordTokenizer:
         return np.asarray(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _usual(self, word: str) -> bool:
-        if len(word) > LONG_WORD:
-            return False
-        return (word.isascii() and "<|" not in word) or (
-            max(word) <= LAST_PLAIN
-            and PLACE_DEPENDENT not in word
-            and unicodedata.is_normalized("NFC", word)
-            and not any(s in word for s in self.special)
+        return len(word) <= LONG_WORD and (word.isascii() and "<|" not in word or self._plain(word))
+
+    def _plain(self, text: str) -> bool:
+        return (
+            max(text) <= LAST_PLAIN
+            and PLACE_DEPENDENT not in text
+            and unicodedata.is_normalized("NFC", text)
+            and not any(s in text for s in self.special)
         )
 
     def _learn(self, new: list[str]) -> None:
@@ -71,29 +74,32 @@ class WordTokenizer:
             for word in new:
                 known[word] = self._direct(word)
             return
-        for word in [w for w in new if not self._usual(w)]:
-            known[word] = self._direct(word)
-        new = [w for w in new if w not in known]
-        if self.parts_bytes > CACHE_BYTES:
+        strange = [w for w in new if len(w) > LONG_WORD or not w.isascii() or "<|" in w]
+        # What holds for these words joined holds for each.
+        if strange and (max(map(len, strange)) > LONG_WORD or not self._plain("\n".join(strange))):
+            strange = [w for w in strange if not self._usual(w)]
+        else:
+            strange = []
+        known.update((word, self._direct(word)) for word in strange)
+        if strange:
+            new = [w for w in new if w not in known]
+        if self.parts_bytes > PART_BYTES:
             parts.clear()
             self.parts_bytes = 0
         # All words are cut in one go: a line each, and the line ends come back as parts.
         cut = table.lines.findall("\n".join(new).lower())
-        fresh = list({p for p in cut if p not in parts} - {"\n"})
+        parts["\n"] = b""
+        fresh = list(set(cut).difference(parts))
         if fresh:
             made = table.merge_all([p.encode() for p in fresh])
             parts.update(zip(fresh, made))
             self.parts_bytes += _bytes_of(fresh, made)
-        some: list[bytes] = []
-        words = iter(new)
-        for part in cut:
-            if part == "\n":
-                known[next(words)] = b"".join(some) if len(some) != 1 else some[0]
-                some = []
-            else:
-                some.append(parts[part])
-        for word in words:  # the last line has no end
-            known[word] = b"".join(some)
+        ids = list(map(parts.__getitem__, cut))
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        data = b"".join(ids)
+        lines = np.fromiter(map("\n".__eq__, cut), bool, len(cut))
+        stops = [*ends[lines].tolist(), len(data)]
+        known.update(zip(new, [data[a:z] for a, z in zip([0, *stops], stops)]))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, each as little-endian 32-bit numbers."""
@@ -103,11 +109,12 @@ class WordTokenizer:
         if self.known_bytes > CACHE_BYTES:
             known.clear()
             self.known_bytes = 0
-        new = list({w for words in split for w in words if w not in known})
+        new = list(set(chain.from_iterable(split)).difference(known))
         if new:
             self._learn(new)
             self.known_bytes += _bytes_of(new, [known[w] for w in new])
-        return [self._direct(t) if o else b"".join([known[w] for w in words]) for t, words, o in zip(texts, split, odd)]
+        get = known.__getitem__
+        return [self._direct(t) if o else b"".join(map(get, some)) for t, some, o in zip(texts, split, odd)]
 
 
 class MergeTable:
