@@ -151,6 +151,7 @@ def pack(
     length: int = LENGTH,
     end_id: int = END_ID,
     group_bytes: int = GROUP_BYTES,
+    cache_bytes: int | None = None,
 ) -> DataFrame:
     """Pieces of all documents: id, start, length, ids (binary, little-endian 32-bit), doc_tokens,
     sequence_id, offset.
@@ -159,7 +160,8 @@ def pack(
     id lies in exactly one piece. Pieces of a sequence are gapless from offset 0 and
     sum to at most ``length``. Rows with one id are separate documents. Rows with
     null ids are packed like others. An empty table gives no pieces. ``tokenizer_path``
-    must name the same file on all machines. Sequence ids are unique, not dense.
+    must name the same file on all machines. Sequence ids are unique, not dense. Each worker remembers
+    up to ``cache_bytes`` of words (default ``wordbpe.CACHE_BYTES``); the result does not depend on it.
 
     A group's documents are taken by ascending id, then text, and remainders of one length
     keep that order, so a group computed again gives the same sequences and offsets.
@@ -181,7 +183,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = held(f"pack {tokenizer_path}", lambda: WordTokenizer(tokenizer_path))
+        tokenizer = held(f"pack {tokenizer_path}", lambda: WordTokenizer(tokenizer_path, cache_bytes))
         rows, size = [], 0
         for piece in _pieces(batches, tokenizer, length, end_id):
             rows.append(piece)

@@ -42,10 +42,11 @@ def _bytes_of(words: list[str], ids: list[bytes]) -> int:
 
 
 class WordTokenizer:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int | None = None):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.cache_bytes = cache_bytes or CACHE_BYTES
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.known_bytes = self.parts_bytes = 0
@@ -106,7 +107,7 @@ class WordTokenizer:
         odd = [any(c in t for c in ODD_SPACES) for t in texts]
         split = [[] if o else t.split() for t, o in zip(texts, odd)]
         known = self.known
-        if self.known_bytes > CACHE_BYTES:
+        if self.known_bytes > self.cache_bytes:
             known.clear()
             self.known_bytes = 0
         new = list(set(chain.from_iterable(split)).difference(known))
