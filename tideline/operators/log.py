@@ -70,6 +70,26 @@ def split_key_changes(log: DataFrame, old_key: Column) -> DataFrame:
 
 
 MAX_BROADCAST_SCHEMAS = 1000
+MAX_LITERAL_SCHEMAS = 64
+
+
+def version_in_force(versions: list[tuple[int | None, int, int]]) -> Column:
+    """Of schema events ``(relid, lsn, seq)`` that the driver has, the number of the row's latest at or before its position, or null.
+
+    A literal of the plan: nothing is counted, joined or moved. For few events, as each is a part of the expression.
+    """
+    tables: dict[int, list] = {}
+    for k, (relid, lsn, seq) in enumerate(versions):
+        if relid is not None:
+            tables.setdefault(relid, []).append((lsn, seq, k))
+    out = F.lit(None).cast("int")
+    for relid, history in tables.items():
+        latest = F.lit(None).cast("int")
+        for lsn, seq, k in sorted(history):
+            reached = (F.col("lsn") > lsn) | ((F.col("lsn") == lsn) & (F.col("seq") >= seq))
+            latest = F.when(reached, F.lit(k)).otherwise(latest)
+        out = F.when(F.col("relid") == relid, latest).otherwise(out)
+    return out
 
 
 def schema_in_force(

@@ -19,7 +19,7 @@ from ..sources import changelog
 from ..sources.catalog import Table
 from ..sources.snapshot import encoded_snapshot, export, snapshot_log
 from ..streaming import compaction
-from ..streaming.replicate import Job, drain
+from ..streaming.replicate import Job, drain, follow
 from ..streaming.sinks import FolderSink
 from .inputs import (
     BY_NAME, CLASSES, EVENTS_RELID, INDEXES, LSNS, NAMES, NAMESPACES, SCHEMA_EVENTS, TABLES,
@@ -579,7 +579,7 @@ def stream_compact_latest(spark, sf_dir):
 def _followed(spark: SparkSession, log: DataFrame, transactions_a_batch: int) -> DataFrame:
     """A log written to files and read as a stream of whole transactions."""
     path = f"{work_folder(spark)}/log"
-    log.write.parquet(path)
+    changelog.write_log(log, path)
     changelog.register(spark)
     reader = spark.readStream.format("changelog").schema(log.schema).option("path", path)
     return reader.option("maxTransactions", transactions_a_batch).load()
@@ -619,5 +619,5 @@ def schema_change_stream(spark, sf_dir):
     sink = FolderSink(f"{work}/topics")
     job = Job(sink, f"{work}/checkpoint", form="json", topic_prefix="tide")
     events = _followed(spark, encoded_events(spark, sf_dir, CHANGE_AT), 600)
-    drain(lambda: job.stream_events(events))
+    follow(lambda trigger: job.stream_events(events, trigger=trigger))
     return sink.read(spark).select("topic", "key", "value")

@@ -28,18 +28,21 @@ from typing import Any
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 MAX_TRANSACTIONS = 1000
 PARTITIONS = 4
+#: Row groups of a written log.
+GROUP_BYTES = 1 << 20
 
 
 class Range(InputPartition):
-    """Positions after ``low`` up to and including ``high``."""
+    """Positions after ``low`` up to and including ``high``, and the row groups of each file that have some (None: look in all)."""
 
-    def __init__(self, low: int, high: int):
-        self.low, self.high = low, high
+    def __init__(self, low: int, high: int, groups: dict[str, list[int]] | None = None):
+        self.low, self.high, self.groups = low, high, groups
 
 
 class OptionError(ValueError):
@@ -61,6 +64,7 @@ class _Log:
         if self.commits not in ("auto", "events", "rows"):
             raise OptionError(f"commits must be auto, events or rows, not {self.commits!r}")
         self.schema = schema
+        self.footers: dict[str, tuple] = {}
         missing = {"lsn", "xid"} - set(schema.names)
         if missing:
             raise OptionError(f"the schema lacks {sorted(missing)}")
@@ -76,19 +80,31 @@ class _Log:
         return ds.dataset(self.path, format="parquet")
 
     def pieces(self, after: int) -> list[tuple[int, int, int, ds.Fragment]]:
-        """(first position, last position, rows, row group) of what lies after a position, by first position."""
-        out = []
-        for fragment in self.dataset().get_fragments():
-            for group in fragment.split_by_row_group():
-                info = group.row_groups[0]
-                known = (info.statistics or {}).get("lsn")
-                if known is None and info.num_rows:
-                    found = pc.min_max(group.to_table(columns=["lsn"]).column("lsn")).as_py()
-                    known = None if found["min"] is None else found
-                if known is not None and known["max"] > after:
-                    out.append((known["min"], known["max"], info.num_rows, group))
+        """(first position, last position, rows, row group) of what lies after a position, by first position.
+
+        Footers are kept until a file changes, as every micro-batch asks again.
+        """
+        data, out = self.dataset(), []
+        known = {i.path: (i.size, i.mtime_ns) for i in data.filesystem.get_file_info(data.files)}
+        self.footers = {path: kept for path, kept in self.footers.items() if known.get(path) == kept[0]}
+        for fragment in data.get_fragments():
+            if fragment.path not in self.footers:
+                self.footers[fragment.path] = known[fragment.path], self._row_groups(fragment)
+            out += [p for p in self.footers[fragment.path][1] if p[1] > after]
         return sorted(out, key=lambda p: p[:3])
 
+    def _row_groups(self, fragment: ds.Fragment) -> list[tuple[int, int, int, ds.Fragment]]:
+        out = []
+        for group in fragment.split_by_row_group():
+            info = group.row_groups[0]
+            known = (info.statistics or {}).get("lsn")
+            if known is None and info.num_rows:
+                found = pc.min_max(group.to_table(columns=["lsn"]).column("lsn")).as_py()
+                known = None if found["min"] is None else found
+            if known is not None:
+                out.append((known["min"], known["max"], info.num_rows, group))
+        return out
+
     def ranges(self, low: int, high: int) -> list[Range]:
         """Cuts between row groups, so that every reader has about as many rows; inside one, by position."""
         inside = [p for p in self.pieces(low) if p[0] <= high]
@@ -102,18 +118,34 @@ class _Log:
                     cuts.append(first + int((last - first) * (wanted - seen) / n))
             seen += n
         bounds = sorted({low, *[c for c in cuts if low < c < high], high})
-        return [Range(a, z) for a, z in zip(bounds, bounds[1:])]
+        return [Range(a, z, self._groups(inside, a, z)) for a, z in zip(bounds, bounds[1:])]
+
+    @staticmethod
+    def _groups(pieces: list, low: int, high: int) -> dict[str, list[int]]:
+        out: dict[str, list[int]] = {}
+        for first, last, _, group in pieces:
+            if first <= high and last > low:
+                out.setdefault(group.path, []).append(group.row_groups[0].id)
+        return out
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(self.schema)
-        # The range is pushed to the files: row groups outside it are skipped.
         inside = (ds.field("lsn") > part.low) & (ds.field("lsn") <= part.high)
-        for batch in self.dataset().to_batches(columns=self.schema.names, filter=inside):
+        for batch in self._batches(part, inside):
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([pc.cast(batch.column(f.name), f.type) for f in target], schema=target)
 
+    def _batches(self, part: Range, inside: pc.Expression) -> Iterator[pa.RecordBatch]:
+        data = self.dataset()
+        if part.groups is None:
+            yield from data.to_batches(columns=self.schema.names, filter=inside)
+            return
+        for path, numbers in part.groups.items():
+            fragment = data.format.make_fragment(path, data.filesystem, row_groups=numbers)
+            yield from fragment.to_batches(schema=data.schema, columns=self.schema.names, filter=inside)
+
     def _by_commit(self, pieces: list) -> bool:
         """Whether commit events end the transactions."""
         if self.commits != "auto":
@@ -218,5 +250,11 @@ class ChangeLogSource(DataSource):
         return StreamReader(_Log(dict(self.options), schema))
 
 
+def write_log(log: DataFrame, path: str, group_bytes: int = GROUP_BYTES) -> None:
+    """Write a log in its order and in small row groups, so that a micro-batch reads little besides its own rows."""
+    ordered = log.repartitionByRange("lsn").sortWithinPartitions("lsn")
+    ordered.write.option("parquet.block.size", group_bytes).parquet(path)
+
+
 def register(spark: Any) -> None:
     spark.dataSource.register(ChangeLogSource)

@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from json.encoder import encode_basestring
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import columnar
 from ..functions.avro import decode_whole, encode_table, schema_prefix
 from ..functions.naming import topic_name
 from ..functions.tagged_json import branch_label, json_column
 from ..functions.wire import ROOT
-from ..operators.log import check_rows, schema_in_force, split_key_changes
+from ..operators.log import MAX_LITERAL_SCHEMAS, check_rows, schema_in_force, split_key_changes, version_in_force
 from ..operators.messages import to_messages
 from ..policy import ErrorPolicy, PublishError, apply_policy, handle
 from ..registry import Registry
@@ -165,20 +168,31 @@ class EventPublisher:
         """(messages, dead letters with an ``error``) of a batch of events."""
         versions = self.relations(events, batch_id)
         unique = {(v.relid, v.lsn, v.seq): v for v in versions}
-        schemas = events.sparkSession.createDataFrame([tuple(vars(v).values()) for v in unique.values()], RELATION)
-        number = F.struct("topic", "key_schema", "row_schema", "key_id", "row_id", "error").alias("relation")
-        schemas = schemas.select("relid", "lsn", "seq", number)
         rows = events.filter(F.col("kind").isin("insert", "update", "delete"))
-        placed = schema_in_force(rows, schemas, "relation")
-        unnamed = F.when(F.col("relation").isNull(), F.concat(F.lit("unknown table "), F.coalesce(F.col("relid").cast("string"), F.lit("null"))))
-        fine, dead = apply_policy(placed, F.coalesce(unnamed, F.col("relation.error")), self.policy)
+        numbered = list(unique.values())
+        fault = F.when(F.col("relation").isNull(), F.concat(F.lit("unknown table "), F.coalesce(F.col("relid").cast("string"), F.lit("null"))))
+        if any(v.error is not None for v in numbered):
+            fault = F.coalesce(fault, _of(numbered, "error"))
+        fine, dead = apply_policy(_placed(rows, numbered), fault, self.policy)
         if self.form == "json":
-            fine = _as_json(fine, [v for v in unique.values() if v.error is None])
-            key, value = F.col("key_text"), F.col("row_text")
-        else:
-            key = _prefixed(F.col("relation.key_id"), F.col("key"))
-            value = _prefixed(F.col("relation.row_id"), F.col("new_row"))
-        return to_messages(fine, key, value, F.col("relation.topic")), dead
+            return to_messages(_as_json(fine, numbered), F.col("key_text"), F.col("row_text"), F.col("topic")), dead
+        key, value = (_prefixed(_of(numbered, i, "int"), F.col(c)) for i, c in (("key_id", "key"), ("row_id", "new_row")))
+        return to_messages(fine, key, value, _of(numbered, "topic")), dead
+
+
+def _placed(rows: DataFrame, versions: list[Relation]) -> DataFrame:
+    """Rows with the number of the ``relation`` in force at their position; few versions are a part of the plan, more are joined."""
+    if len(versions) <= MAX_LITERAL_SCHEMAS:
+        return rows.withColumn("relation", version_in_force([(v.relid, v.lsn, v.seq) for v in versions]))
+    marks = [(v.relid, v.lsn, v.seq, k) for k, v in enumerate(versions)]
+    schemas = rows.sparkSession.createDataFrame(marks, "relid long, lsn long, seq int, relation int")
+    return schema_in_force(rows, schemas, "relation")
+
+
+def _of(versions: list[Relation], part: str, kind: str = "string") -> Column:
+    """A part of the row's relation, by its number."""
+    values = [F.lit(getattr(v, part)).cast(kind) for v in versions]
+    return F.get(F.array(*values), F.col("relation")) if values else F.lit(None).cast(kind)
 
 
 def _prefixed(schema_id: Column, payload: Column) -> Column:
@@ -207,27 +221,57 @@ def _tagged(schema: Any, value: Any) -> Any:
         if isinstance(value, str) and not isinstance(kind, str):  # an infinite date
             return {branch_label("SpecialTime"): value}
         name = kind if isinstance(kind, str) else kind["name"]
-        return {branch_label(name.rpartition(".")[2]): value}
+        return {branch_label(name.rpartition(".")[2]): value.decode("latin-1") if isinstance(value, bytes) else value}
     return value.decode("latin-1") if isinstance(value, bytes) else value
 
 
-def _as_json(rows: DataFrame, versions: list[Relation]) -> DataFrame:
-    """Add ``key_text`` and ``row_text``: encoded keys and rows decoded by their version's schemas."""
-    parsed = {text: json.loads(text) for v in versions for text in (v.key_schema, v.row_schema) if text}
-    result = T.StructType([*rows.schema.fields, T.StructField("key_text", T.StringType()), T.StructField("row_text", T.StringType())])
+#: JSON text of a plain value of each kind.
+PLAIN = {
+    "int": (pa.int32(), str), "long": (pa.int64(), str), "float": (pa.float32(), json.dumps), "double": (pa.float64(), json.dumps),
+    "boolean": (pa.bool_(), json.dumps), "string": (pa.string(), encode_basestring), "bytes": (pa.binary(), lambda v: encode_basestring(v.decode("latin-1"))),
+}
 
-    def text(schema: str | None, data: bytes | None) -> str | None:
-        if schema is None or data is None:
-            return None
-        made = parsed[schema]
-        return json.dumps(_tagged(made, decode_whole(made, data)), separators=(",", ":"), ensure_ascii=False)
+
+def _json_texts(schema: dict[str, Any], records: pa.Array) -> list[str | None]:
+    """Encoded records of one schema as JSON text, a column at a time where all values are plain."""
+    kinds = columnar.flat_kinds(schema)
+    if kinds and all(k in PLAIN for k in kinds):
+        try:
+            columns = columnar.decode(records, kinds, [PLAIN[k][0] for k in kinds])
+        except (columnar.OtherBranch, columnar.Damaged):
+            pass  # value by value: the message says which value is damaged
+        else:
+            parts = []
+            for field, kind, column in zip(schema["fields"], kinds, columns):
+                name, (_, text) = encode_basestring(field["name"]), PLAIN[kind]
+                some = f'{name}:{{"{branch_label(kind)}":'
+                parts.append([f"{name}:null" if v is None else f"{some}{text(v)}}}" for v in column.to_pylist()])
+            return ["{" + ",".join(row) + "}" if there else None for row, there in zip(zip(*parts), records.is_valid().to_pylist())]
+    made = [None if v is None else _tagged(schema, decode_whole(schema, v)) for v in records.to_pylist()]
+    return [None if v is None else json.dumps(v, separators=(",", ":"), ensure_ascii=False) for v in made]
+
+
+def _as_json(rows: DataFrame, versions: list[Relation]) -> DataFrame:
+    """``kind, xid, lsn, seq, topic`` of rows with ``key_text`` and ``row_text``: keys and rows decoded by their relation's schemas."""
+    known = [(v.topic, *[text and json.loads(text) for text in (v.key_schema, v.row_schema)]) for v in versions]
+    kept = ["kind", "xid", "lsn", "seq"]
+    added = [T.StructField(c, T.StringType()) for c in ("topic", "key_text", "row_text")]
+    result = T.StructType([*[rows.schema[c] for c in kept], *added])
 
     def stage(batches):
         for batch in batches:
-            at = batch.column("relation").to_pylist()
-            keys, new = batch.column("key").to_pylist(), batch.column("new_row").to_pylist()
-            key_text = pa.array([text(r["key_schema"], k) for r, k in zip(at, keys)], pa.string())
-            row_text = pa.array([text(r["row_schema"], v) for r, v in zip(at, new)], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, key_text, row_text], [*batch.schema.names, "key_text", "row_text"])
-
-    return rows.mapInArrow(stage, result)
+            at = batch.column("relation").to_numpy(zero_copy_only=False)
+            out: list[list] = [[None] * len(at) for _ in added]
+            for k in np.unique(at).tolist():
+                topic, key, row = known[int(k)]
+                here = np.flatnonzero(at == k)
+                where = pa.array(here)
+                made = [[topic] * len(here)]
+                made += [[None] * len(here) if s is None else _json_texts(s, batch.column(c).take(where)) for s, c in ((key, "key"), (row, "new_row"))]
+                for column, values in zip(out, made):
+                    for i, v in zip(here.tolist(), values):
+                        column[i] = v
+            texts = [pa.array(column, pa.string()) for column in out]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *texts], result.names)
+
+    return rows.select(*kept, "relation", "key", "new_row").mapInArrow(stage, result)

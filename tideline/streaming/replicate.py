@@ -125,11 +125,15 @@ class Job:
         write = batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics)
 
         def publish(batch: DataFrame, batch_id: int) -> None:
-            messages, dead = publisher.messages(batch, batch_id)
-            write(messages.filter(F.col("lsn") > start_lsn), batch_id)
-            if self.policy is ErrorPolicy.LOG:
-                for row in dead.groupBy("error").count().orderBy("error").limit(100).collect():
-                    handle(ValueError(f"{row['error']} ({row['count']} rows)"), self.policy, "dead letters")
+            batch.persist()  # read once for its schema events and its rows
+            try:
+                messages, dead = publisher.messages(batch, batch_id)
+                write(messages.filter(F.col("lsn") > start_lsn), batch_id)
+                if self.policy is ErrorPolicy.LOG:
+                    for row in dead.groupBy("error").count().orderBy("error").limit(100).collect():
+                        handle(ValueError(f"{row['error']} ({row['count']} rows)"), self.policy, "dead letters")
+            finally:
+                batch.unpersist()
 
         return (
             events.writeStream.option("checkpointLocation", self.checkpoint)
@@ -177,6 +181,19 @@ def drain(start: Callable[[], StreamingQuery]) -> int:
         done += 1
 
 
+def follow(start: Callable[[dict], StreamingQuery]) -> None:
+    """Start a query once, with the trigger it is given, let it read one batch after another until its source has nothing more, and stop it.
+
+    One start reads all batches, of the source's ``maxTransactions`` each, where :func:`drain` needs one a batch. A
+    source that gets rows faster than they are read never ends.
+    """
+    query = start({"processingTime": "0 seconds"})
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run(
     spark: SparkSession, job: Job, read: Callable[[str], DataFrame], tables: list[Table],
     messages: DataFrame | None = None, start_lsn: int = 0, skip_snapshot: bool = False,
