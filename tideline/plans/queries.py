@@ -19,7 +19,7 @@ from ..sources import changelog
 from ..sources.catalog import Table
 from ..sources.snapshot import encoded_snapshot, export, snapshot_log
 from ..streaming import compaction
-from ..streaming.replicate import Job, drain, follow
+from ..streaming.replicate import Job, follow
 from ..streaming.sinks import FolderSink
 from .inputs import (
     BY_NAME, CLASSES, EVENTS_RELID, INDEXES, LSNS, NAMES, NAMESPACES, SCHEMA_EVENTS, TABLES,
@@ -594,7 +594,7 @@ def stream_split_messages(spark, sf_dir):
     job = Job(sink, f"{work}/checkpoint", form="json")
     stored = Table(EVENTS_RELID, "events", ["user_id", "event_type"])
     job.stream_table(rows, stored).awaitTermination()  # one batch, then stopped
-    drain(lambda: job.stream_table(rows, stored))
+    follow(lambda trigger: job.stream_table(rows, stored, trigger=trigger))
     # All of it again, from another start and in other batches: seen once.
     again = Job(sink, f"{work}/again", form="json")
     again.stream_table(_followed(spark, mutable_key_log(spark, sf_dir), 1_000_000), stored).awaitTermination()
