@@ -33,7 +33,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest doc_id.
 
-    Near: five-word shingle sets of similarity 0.8 or more.
+    Near: five-word shingle sets of similarity 0.8 or more. The fingerprint index (``op3_simhash``'s, spanning forests and
+    star contraction) classes the documents; sets are compared within classes, and across them for the pairs it cannot reach.
     """
     return drop_similar(docs)
 

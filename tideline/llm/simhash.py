@@ -17,10 +17,10 @@ once. *Links* are found over distinct fingerprints only:
   then joined across nodes with star contraction.
 
 :func:`near_duplicates` links 64-bit fingerprints of word shingles. :func:`similar_documents` is
-for similarity thresholds such as 0.8 on five-word shingles, at which 64 bits of shingles differ
-in about ten places, beyond the reach of the index. It finds all pairs:
-similar sets share one of their rarest shingles, which groups the documents, and within
-a group the sets themselves are compared.
+for similarity thresholds such as 0.8 on five-word shingles. The same fingerprints and index make its first
+classes, and an exact check of the shingle sets follows within each. At such thresholds many pairs differ
+in about ten bits, beyond the reach of the index, so there is an exact way for the rest: similar sets of
+different classes share one of the rarest shingles that more than one class has, which joins the classes.
 """
 
 from __future__ import annotations
@@ -288,10 +288,13 @@ def _label(prints: DataFrame, distance: int) -> DataFrame:
 # ---------------------------------------------------------------- similarity thresholds
 
 
+TOKENS = "__tl_token long, __tl_row long, __tl_class long, __tl_n long"
+
+
 def _shingle_sets(words: int, exploded: bool):
     """Distinct shingle hashes of each row, ascending; texts without words have the one shingle 0.
 
-    ``exploded``: a row for each shingle with the row's number of shingles, else one row with all.
+    ``exploded``: a row for each shingle with the row's class and number of shingles, else one row with all.
     """
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,11 +310,11 @@ def _shingle_sets(words: int, exploded: bool):
                     kept = [part.column(k) for k in ("__tl_group", "__tl_row", "__tl_v")]
                     yield pa.RecordBatch.from_arrays([*kept, pa.array(sizes), data], SET_NAMES)
                     continue
-                row = np.repeat(part.column("__tl_row").to_numpy(), sizes)
+                row, of = (np.repeat(part.column(c).to_numpy(), sizes) for c in ("__tl_row", "__tl_class"))
                 flat, sizes = np.concatenate(sets).view(np.int64), np.repeat(sizes, sizes)
                 for k in range(0, len(row), 65_536):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x[k : k + 65_536]) for x in (flat, row, sizes)], ["__tl_token", "__tl_row", "__tl_n"]
+                        [pa.array(x[k : k + 65_536]) for x in (flat, row, of, sizes)], ["__tl_token", "__tl_row", "__tl_class", "__tl_n"]
                     )
 
     return stage
@@ -322,7 +325,7 @@ def _hot_shingles(rows: DataFrame, words: int) -> DataFrame:
     n = rows.count()
     every = max(1, n // HOT_SAMPLE)
     some = rows.filter(F.pmod(F.xxhash64("__tl_row", F.lit("sample")), F.lit(every)) == 0)
-    tokens = some.select("__tl_row", "text").mapInArrow(_shingle_sets(words, True), "__tl_token long, __tl_row long, __tl_n long")
+    tokens = some.select("__tl_row", F.lit(0).cast("long").alias("__tl_class"), "text").mapInArrow(_shingle_sets(words, True), TOKENS)
     counts = tokens.groupBy("__tl_token").count()
     return materialise(counts.filter(F.col("count") > max(HOT_LEAST, HOT_SHINGLE * n / every)).select("__tl_token"), "hot")
 
@@ -330,19 +333,31 @@ def _hot_shingles(rows: DataFrame, words: int) -> DataFrame:
 def _groups(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     """``(node, component)``: groups of ``rows(__tl_row, text)`` such that similar rows share a group.
 
-    In one order of all shingles, two sets of similarity s share a shingle among the first
-    n - ceil(s * n) + 1 of each (n its size). The order here is by document frequency, so shingles
-    of one row only come first, and a row that has enough of those is like no other. Hot shingles
+    The index makes the first classes, of fingerprints that links join. In one order of all shingles, two sets of
+    similarity s share a shingle among the first n - ceil(s * n) + 1 of each (n its size). The order here
+    begins with the shingles of one class only, which no pair across classes shares, so a row that has enough of
+    those is like none outside its class; the others follow by document frequency. Hot shingles
     come last; their rows are never in one task.
     """
+    prints = materialise(fingerprints(rows, "__tl_row", "text").distinct(), "simhash")
+    labels = _label(prints, MAX_DISTANCE).select(F.col("id").alias("__tl_row"), F.col("component_id").alias("__tl_class"))
+    classes = materialise(labels.filter("__tl_row <> __tl_class").distinct(), "near")
+    drop(prints)
+    # A class's least row and rows alone are their own class: 0 here, so that the shuffled column is short.
+    heads = classes.select(F.col("__tl_class").alias("__tl_row")).distinct()
+    members = classes.unionAll(heads.select("__tl_row", F.col("__tl_row").alias("__tl_class")))
     hot = _hot_shingles(rows, words)
-    tokens = rows.select("__tl_row", "text").mapInArrow(_shingle_sets(words, True), "__tl_token long, __tl_row long, __tl_n long")
+    classed = rows.join(members, "__tl_row", "left").select("__tl_row", F.coalesce("__tl_class", F.lit(0)).alias("__tl_class"), "text")
+    tokens = classed.mapInArrow(_shingle_sets(words, True), TOKENS)
     tokens = tokens.join(F.broadcast(hot.withColumn("__tl_hot", F.lit(True))), "__tl_token", "left")
     salt = F.pmod(F.xxhash64("__tl_row"), F.lit(SALTS)).cast("int")
     spread = Window.partitionBy("__tl_token", "__tl_salt")
     tokens = tokens.withColumn("__tl_salt", F.when(F.col("__tl_hot"), salt).otherwise(-1))
     df = F.when(F.col("__tl_hot"), F.lit(HOT_RANK)).otherwise(F.count("*").over(spread))
-    shared = tokens.withColumn("__tl_df", df).filter("__tl_df > 1").drop("__tl_hot", "__tl_salt")
+    of = F.when(F.col("__tl_class") == 0, F.col("__tl_row")).otherwise(F.col("__tl_class"))
+    across = F.col("__tl_hot").isNotNull() | (F.min(of).over(spread) < F.max(of).over(spread))
+    shared = tokens.withColumn("__tl_df", df).withColumn("__tl_across", across).filter("__tl_across")
+    shared = shared.drop("__tl_hot", "__tl_salt", "__tl_class", "__tl_across")
     own = Window.partitionBy("__tl_row")
     shared = shared.withColumn("__tl_k", F.count("*").over(own))
     first = F.col("__tl_n") - F.ceil(similarity * F.col("__tl_n") - 1e-9) + 1
@@ -356,8 +371,9 @@ def _groups(rows: DataFrame, words: int, similarity: float) -> DataFrame:
     # The rows of a hot shingle are joined within each salt; here the salts are, at most SALTS rows a shingle.
     tops = heads.filter("__tl_token IS NOT NULL").select("__tl_token", F.col("v").alias("u")).distinct()
     tops = tops.select("u", F.min("u").over(Window.partitionBy("__tl_token")).alias("v"))
-    out = components(heads.select("u", "v").unionAll(tops))
-    drop(heads, hot)
+    near = classes.select(F.col("__tl_row").alias("u"), F.col("__tl_class").alias("v"))
+    out = components(heads.select("u", "v").unionAll(tops).unionAll(near))
+    drop(heads, hot, classes)
     return out
 
 
@@ -420,7 +436,7 @@ def similar_documents(
 ) -> DataFrame:
     """``(doc id, component_id)`` of every document that has a similar one, itself and its class's smallest id.
 
-    Links: Jaccard similarity of the ``words``-word shingle sets of at least ``similarity``, exact but
+    Candidates are the classes of the fingerprint index and, for pairs beyond its reach, shared rare shingles. Links: Jaccard similarity of the ``words``-word shingle sets of at least ``similarity``, exact but
     for collisions of 64-bit hashes; no similar pair is missed. Components are transitive.
     Ids are whole numbers; rows with one id are one document; rows with null ids are in no
     class. Texts without words are all alike. Empty tables give empty results.
