@@ -90,3 +90,66 @@ def test_json_texts_of_plain_values_equal_those_of_single_ones(spark):
         records = avro.encode_table(part, "t", out="r", keep=[]).toArrow().column("r").combine_chunks()
         want = [json.dumps(_tagged(schema, avro.decode_whole(schema, v)), separators=(",", ":"), ensure_ascii=False) for v in records.to_pylist()]
         assert _json_texts(schema, records) == want
+
+
+def test_a_small_batch_is_read_by_one_task(spark, tmp_path):
+    path = str(tmp_path / "log")
+    changelog.write_log(typed(spark, 200_000), path, 64 << 10)
+    log = _Log({"path": path}, spark.read.parquet(path).schema)
+    small, large = log.ranges(12_000, 18_000), log.ranges(-1, 200_000)
+    assert [(r.low, r.high) for r in small] == [(12_000, 18_000)] and len(large) == 4
+    assert sorted(x for b in log.read(small[0]) for x in b.column("lsn").to_pylist()) == list(range(12_001, 18_001))
+    sizes = [sum(b.num_rows for b in log.read(part)) for part in large]
+    assert sum(sizes) == 200_000 and max(sizes) < 70_000
+
+
+@pytest.mark.parametrize("form", ["json", "avro"])
+def test_a_small_batch_is_published_without_a_shuffle(spark, tmp_path, form):
+    from tideline.plans.inputs import encoded_events
+
+    spark.range(100).selectExpr("id AS event_id", "id % 7 AS user_id", "'t' AS event_type").write.parquet(str(tmp_path / "events.parquet"))
+    path, sink, moved = str(tmp_path / "log"), FolderSink(str(tmp_path / "topics")), []
+    events = encoded_events(spark, str(tmp_path), 51)
+    changelog.write_log(events, path)
+    changelog.register(spark)
+    rows = spark.readStream.format("changelog").schema(events.schema).option("path", path).option("maxTransactions", 3).load()
+    written = sink._write
+
+    def write(messages, batch_id):
+        moved.append("Exchange" in messages._jdf.queryExecution().executedPlan().toString())
+        written(messages, batch_id)
+
+    sink._write = write
+    job = Job(sink, str(tmp_path / "c"), form)
+    follow(lambda trigger: job.stream_events(rows, trigger=trigger))
+    got = spark.read.parquet(sink.path).orderBy("lsn").collect()
+    assert len(moved) >= 3 and not any(moved)
+    assert [r["lsn"] for r in got] == list(range(1, 101))
+    assert [r["topic"] for r in got] == ["events"] * 51 + ["happenings"] * 49
+    assert [r["lsn"] for r in got if r["value"] is None] == list(range(10, 101, 10))
+
+
+def test_a_query_with_a_local_checkpoint_leaves_the_session_as_it_was(spark, tmp_path):
+    from tideline.streaming.replicate import CHECKPOINT_FILES, _plain_renames
+
+    with _plain_renames(spark, str(tmp_path)):
+        assert spark.conf.get(CHECKPOINT_FILES).endswith("FileSystemBasedCheckpointFileManager")
+    assert spark.conf.get(CHECKPOINT_FILES, None) is None
+    spark.conf.set(CHECKPOINT_FILES, "x")
+    try:
+        with _plain_renames(spark, str(tmp_path)):
+            assert spark.conf.get(CHECKPOINT_FILES) == "x"
+    finally:
+        spark.conf.unset(CHECKPOINT_FILES)
+
+
+def test_json_arrays_escape_what_a_string_needs():
+    import json
+
+    import pyarrow as pa
+
+    from tideline.streaming.publish import _plain_texts
+
+    for text in ("a\nb", 'q"', "\\", "\x00", "\x1f", "é\x7f", "", "plain"):
+        want = [json.dumps(text, ensure_ascii=False), '"p"', None]
+        assert _plain_texts("string", pa.array([text, "p", None])).to_pylist() == want

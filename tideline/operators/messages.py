@@ -38,10 +38,15 @@ def deduplicate(messages: DataFrame) -> DataFrame:
     return messages.dropDuplicates(["topic", "lsn", "seq"])
 
 
-def in_order(messages: DataFrame) -> DataFrame:
-    """All messages of a key in one task, in log order; no order across keys is made, and unkeyed ones are spread."""
-    spread = F.when(F.col("key").isNull(), F.xxhash64("lsn", "seq"))
-    return messages.repartition("topic", "key", spread).sortWithinPartitions("topic", "key", "lsn", "seq")
+def in_order(messages: DataFrame, one_task: bool = False) -> DataFrame:
+    """All messages of a key in one task, in log order; no order across keys is made, and unkeyed ones are spread.
+
+    Messages that lie in ``one_task`` already are not moved.
+    """
+    if not one_task:
+        spread = F.when(F.col("key").isNull(), F.xxhash64("lsn", "seq"))
+        messages = messages.repartition("topic", "key", spread)
+    return messages.sortWithinPartitions("topic", "key", "lsn", "seq")
 
 
 def debug_lines(log: DataFrame, table: Column, key: Column, old: Column, new: Column) -> DataFrame:

@@ -34,6 +34,14 @@ def row_fault(value: Column, max_bytes: int = MAX_ROW_BYTES) -> Column:
     return F.when(size > max_bytes, F.format_string("row of %d bytes, at most %d are allowed", size, F.lit(max_bytes)))
 
 
+def or_fail(fault: Column) -> Column:
+    """A condition that is true or fails the query: the ``exit`` policy.
+
+    It is a predicate over the very rows that are published, so it cannot be pruned away.
+    """
+    return F.when(fault.isNull(), F.lit(True)).otherwise(F.raise_error(fault).cast("boolean"))
+
+
 def apply_policy(rows: DataFrame, fault: Column, policy: ErrorPolicy = ErrorPolicy.EXIT) -> tuple[DataFrame, DataFrame]:
     """(rows to publish, rows set aside with an ``error`` column).
 
@@ -42,9 +50,7 @@ def apply_policy(rows: DataFrame, fault: Column, policy: ErrorPolicy = ErrorPoli
     """
     marked = rows.withColumn("error", fault)
     if policy is ErrorPolicy.EXIT:
-        # The check is a predicate over the very rows that are published, so it cannot be pruned away.
-        fine = F.when(F.col("error").isNull(), F.lit(True)).otherwise(F.raise_error(F.col("error")).cast("boolean"))
-        return marked.filter(fine).drop("error"), marked.limit(0)
+        return rows.filter(or_fail(fault)), marked.limit(0)
     return marked.filter(F.col("error").isNull()).drop("error"), marked.filter(F.col("error").isNotNull())
 
 

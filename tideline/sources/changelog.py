@@ -16,12 +16,13 @@ The driver reads the files' footers for the positions in them, and of the log it
 * ``path``: the folder (or file) of Parquet files; must be visible to all executors
 * ``startingOffset``: read only what lies after this position (default -1: everything)
 * ``maxTransactions``: most transactions in one micro-batch (default 1000)
-* ``partitions``: parallel readers of a batch (default 4), of about as many rows each
+* ``partitions``: most parallel readers of a batch (default 4), of about as many rows each; a small batch has fewer
 * ``commits``: ``events`` or ``rows`` say how transactions end; ``auto`` (default) looks at the first rows
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import Any
 
@@ -34,6 +35,8 @@ from pyspark.sql.types import StructType
 
 MAX_TRANSACTIONS = 1000
 PARTITIONS = 4
+#: A batch of no more than this is read by one task: starting more costs more than the rows.
+READER_ROWS, READER_BYTES = 10_000, 4 << 20
 #: Row groups of a written log.
 GROUP_BYTES = 1 << 20
 
@@ -108,12 +111,16 @@ class _Log:
     def ranges(self, low: int, high: int) -> list[Range]:
         """Cuts between row groups, so that every reader has about as many rows; inside one, by position."""
         inside = [p for p in self.pieces(low) if p[0] <= high]
-        total = sum(n for _, _, n, _ in inside)
-        cuts, seen = [], 0
-        for first, last, n, _ in inside:
-            first, last = max(first - 1, low), min(last, high)
-            for k in range(1, self.parts):
-                wanted = total * k / self.parts
+        # The part of a row group's rows and bytes that lies in the range.
+        shares = [(min(last, high) - max(first - 1, low)) / (last - first + 1) for first, last, _, _ in inside]
+        total = sum(n * share for (_, _, n, _), share in zip(inside, shares))
+        size = sum(group.row_groups[0].total_byte_size * share for (_, _, _, group), share in zip(inside, shares))
+        parts = min(self.parts, max(1, math.ceil(total / READER_ROWS), math.ceil(size / READER_BYTES)))
+        cuts, seen = [], 0.0
+        for (first, last, n, _), share in zip(inside, shares):
+            first, last, n = max(first - 1, low), min(last, high), n * share
+            for k in range(1, parts):
+                wanted = total * k / parts
                 if seen <= wanted < seen + n:
                     cuts.append(first + int((last - first) * (wanted - seen) / n))
             seen += n

@@ -14,6 +14,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,7 @@ from ..functions.tagged_json import branch_label, json_column
 from ..functions.wire import ROOT
 from ..operators.log import MAX_LITERAL_SCHEMAS, check_rows, schema_in_force, split_key_changes, version_in_force
 from ..operators.messages import to_messages
-from ..policy import ErrorPolicy, PublishError, apply_policy, handle
+from ..policy import ErrorPolicy, PublishError, apply_policy, handle, or_fail
 from ..registry import Registry
 from ..sources.catalog import Table
 
@@ -118,6 +119,10 @@ class EventPublisher:
     policy: ErrorPolicy = ErrorPolicy.EXIT
     known: dict[int, Relation] = field(default_factory=dict)
     loaded: bool = False
+    #: Columns of the tables' last versions: most batches bring no other, and making them costs more than a small batch's rows.
+    made: tuple = (None, None)
+    #: Whether the last batch's messages lie in the tasks of their events.
+    in_place: bool = False
 
     # ------------------------------------------------------------ tables
 
@@ -147,7 +152,7 @@ class EventPublisher:
         spark = events.sparkSession
         if not self.loaded:
             self._load(spark, batch_id)
-        marks = events.filter(F.col("kind") == "schema").select("relid", "lsn", "seq", "key_schema", "row_schema")
+        marks = events.filter("kind = 'schema'").select("relid", "lsn", "seq", "key_schema", "row_schema")
         rows = marks.orderBy("lsn", "seq").limit(MAX_SCHEMA_EVENTS + 1).collect()
         if len(rows) > MAX_SCHEMA_EVENTS:
             raise PublishError(f"more than {MAX_SCHEMA_EVENTS} schema events in a batch; use smaller batches")
@@ -164,26 +169,30 @@ class EventPublisher:
 
     # ------------------------------------------------------------ rows
 
-    def messages(self, events: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame]:
-        """(messages, dead letters with an ``error``) of a batch of events."""
+    def messages(self, events: DataFrame, batch_id: int) -> tuple[DataFrame, DataFrame | None]:
+        """(messages, dead letters with an ``error``) of a batch of events; None are dead under the exit policy."""
         versions = self.relations(events, batch_id)
         unique = {(v.relid, v.lsn, v.seq): v for v in versions}
-        rows = events.filter(F.col("kind").isin("insert", "update", "delete"))
+        rows = events.filter("kind IN ('insert', 'update', 'delete')")
         numbered = list(unique.values())
-        fault = F.when(F.col("relation").isNull(), F.concat(F.lit("unknown table "), F.coalesce(F.col("relid").cast("string"), F.lit("null"))))
-        if any(v.error is not None for v in numbered):
-            fault = F.coalesce(fault, _of(numbered, "error"))
-        fine, dead = apply_policy(_placed(rows, numbered), fault, self.policy)
+        self.in_place = len(numbered) <= MAX_LITERAL_SCHEMAS
+        if self.made[0] != numbered:
+            fault = F.when(F.col("relation").isNull(), F.concat(F.lit("unknown table "), F.coalesce(F.col("relid").cast("string"), F.lit("null"))))
+            if any(v.error is not None for v in numbered):
+                fault = F.coalesce(fault, _of(numbered, "error"))
+            number = version_in_force([(v.relid, v.lsn, v.seq) for v in numbered]) if self.in_place else None
+            self.made = numbered, (number, fault, or_fail(fault))
+        number, fault, sound = self.made[1]
+        placed = rows.withColumn("relation", number) if self.in_place else _joined(rows, numbered)
+        fine, dead = (placed.filter(sound), None) if self.policy is ErrorPolicy.EXIT else apply_policy(placed, fault, self.policy)
         if self.form == "json":
-            return to_messages(_as_json(fine, numbered), F.col("key_text"), F.col("row_text"), F.col("topic")), dead
+            return _as_json(fine, numbered), dead
         key, value = (_prefixed(_of(numbered, i, "int"), F.col(c)) for i, c in (("key_id", "key"), ("row_id", "new_row")))
         return to_messages(fine, key, value, _of(numbered, "topic")), dead
 
 
-def _placed(rows: DataFrame, versions: list[Relation]) -> DataFrame:
-    """Rows with the number of the ``relation`` in force at their position; few versions are a part of the plan, more are joined."""
-    if len(versions) <= MAX_LITERAL_SCHEMAS:
-        return rows.withColumn("relation", version_in_force([(v.relid, v.lsn, v.seq) for v in versions]))
+def _joined(rows: DataFrame, versions: list[Relation]) -> DataFrame:
+    """Rows with the number of the ``relation`` in force at their position, where the versions are too many for a part of the plan."""
     marks = [(v.relid, v.lsn, v.seq, k) for k, v in enumerate(versions)]
     schemas = rows.sparkSession.createDataFrame(marks, "relid long, lsn long, seq int, relation int")
     return schema_in_force(rows, schemas, "relation")
@@ -232,7 +241,25 @@ PLAIN = {
 }
 
 
+#: What a JSON string has to escape.
+ESCAPED = r'["\\\x00-\x1f]'
+
+
+def _plain_texts(kind: str, column: pa.Array) -> pa.Array:
+    """JSON text of plain values of a kind; of whole numbers and of strings without escapes at once."""
+    if kind in ("int", "long"):
+        return column.cast(pa.string())
+    if kind == "string" and not pc.any(pc.match_substring_regex(column, ESCAPED)).as_py():
+        return pc.binary_join_element_wise('"', column, '"', "")
+    text = PLAIN[kind][1]
+    return pa.array([None if v is None else text(v) for v in column.to_pylist()], pa.string())
+
+
 def _json_texts(schema: dict[str, Any], records: pa.Array) -> list[str | None]:
+    return _json_array(schema, records).to_pylist()
+
+
+def _json_array(schema: dict[str, Any], records: pa.Array) -> pa.Array:
     """Encoded records of one schema as JSON text, a column at a time where all values are plain."""
     kinds = columnar.flat_kinds(schema)
     if kinds and all(k in PLAIN for k in kinds):
@@ -242,36 +269,40 @@ def _json_texts(schema: dict[str, Any], records: pa.Array) -> list[str | None]:
             pass  # value by value: the message says which value is damaged
         else:
             parts = []
-            for field, kind, column in zip(schema["fields"], kinds, columns):
-                name, (_, text) = encode_basestring(field["name"]), PLAIN[kind]
-                some = f'{name}:{{"{branch_label(kind)}":'
-                parts.append([f"{name}:null" if v is None else f"{some}{text(v)}}}" for v in column.to_pylist()])
-            return ["{" + ",".join(row) + "}" if there else None for row, there in zip(zip(*parts), records.is_valid().to_pylist())]
+            for k, (field, kind, column) in enumerate(zip(schema["fields"], kinds, columns)):
+                name = ("," if k else "{") + encode_basestring(field["name"])
+                some = pc.binary_join_element_wise(f'{name}:{{"{branch_label(kind)}":', _plain_texts(kind, column), "}", "")
+                parts.append(pc.fill_null(some, f"{name}:null"))
+            return pc.if_else(pc.is_valid(records), pc.binary_join_element_wise(*parts, "}", ""), pa.scalar(None, pa.string()))
     made = [None if v is None else _tagged(schema, decode_whole(schema, v)) for v in records.to_pylist()]
-    return [None if v is None else json.dumps(v, separators=(",", ":"), ensure_ascii=False) for v in made]
+    return pa.array([None if v is None else json.dumps(v, separators=(",", ":"), ensure_ascii=False) for v in made], pa.string())
 
 
 def _as_json(rows: DataFrame, versions: list[Relation]) -> DataFrame:
-    """``kind, xid, lsn, seq, topic`` of rows with ``key_text`` and ``row_text``: keys and rows decoded by their relation's schemas."""
+    """The messages of rows, as :func:`to_messages` makes them: keys and rows decoded by their relation's schemas."""
     known = [(v.topic, *[text and json.loads(text) for text in (v.key_schema, v.row_schema)]) for v in versions]
-    kept = ["kind", "xid", "lsn", "seq"]
-    added = [T.StructField(c, T.StringType()) for c in ("topic", "key_text", "row_text")]
-    result = T.StructType([*[rows.schema[c] for c in kept], *added])
+    kept = ["xid", "lsn", "seq"]
+    added = [T.StructField(c, T.StringType()) for c in ("topic", "key", "value")]
+    result = T.StructType([*added, *[rows.schema[c] for c in kept]])
 
     def stage(batches):
         for batch in batches:
             at = batch.column("relation").to_numpy(zero_copy_only=False)
-            out: list[list] = [[None] * len(at) for _ in added]
+            parts, places = [], []
             for k in np.unique(at).tolist():
                 topic, key, row = known[int(k)]
-                here = np.flatnonzero(at == k)
-                where = pa.array(here)
-                made = [[topic] * len(here)]
-                made += [[None] * len(here) if s is None else _json_texts(s, batch.column(c).take(where)) for s, c in ((key, "key"), (row, "new_row"))]
-                for column, values in zip(out, made):
-                    for i, v in zip(here.tolist(), values):
-                        column[i] = v
-            texts = [pa.array(column, pa.string()) for column in out]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *texts], result.names)
-
-    return rows.select(*kept, "relation", "key", "new_row").mapInArrow(stage, result)
+                places.append(np.flatnonzero(at == k))
+                where = pa.array(places[-1])
+                made = [pa.repeat(pa.scalar(topic, pa.string()), len(where))]
+                made += [pa.nulls(len(where), pa.string()) if s is None else _json_array(s, batch.column(c).take(where)) for s, c in ((key, "key"), (row, "new_row"))]
+                parts.append(made)
+            if not parts:
+                continue
+            back = pa.array(np.argsort(np.concatenate(places)))
+            topic, key, value = (pa.concat_arrays(columns).take(back) for columns in zip(*parts))
+            delete = pc.equal(batch.column("kind"), "delete")
+            made = [topic, key, pc.if_else(delete, pa.scalar(None, pa.string()), value), *[batch.column(c) for c in kept]]
+            # A delete without a key says nothing to a reader of the topic.
+            yield pa.RecordBatch.from_arrays(made, result.names).filter(pc.or_(pc.is_valid(key), pc.invert(delete)))
+
+    return rows.select("kind", *kept, "relation", "key", "new_row").mapInArrow(stage, result)

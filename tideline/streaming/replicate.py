@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,13 +99,16 @@ class Job:
 
     def stream(self, messages: DataFrame, start_lsn: int = 0, trigger: dict | None = None) -> StreamingQuery:
         """Publish a streaming frame of messages after ``start_lsn``; restarts resume from the checkpoint."""
-        return (
-            messages.filter(F.col("lsn") > start_lsn)
-            .writeStream.option("checkpointLocation", self.checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics))
-            .start()
-        )
+        write = batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics)
+        def publish(batch: DataFrame, batch_id: int) -> None:
+            write(batch, batch_id, _one_task(batch))
+
+        return self._start(messages.filter(F.col("lsn") > start_lsn), publish, trigger)
+
+    def _start(self, rows: DataFrame, publish: Callable[[DataFrame, int], None], trigger: dict | None) -> StreamingQuery:
+        writer = rows.writeStream.option("checkpointLocation", self.checkpoint).trigger(**(trigger or {"availableNow": True}))
+        with _plain_renames(rows.sparkSession, self.checkpoint):
+            return writer.foreachBatch(publish).start()
 
     def stream_table(self, log: DataFrame, table: Table, start_lsn: int = 0, trigger: dict | None = None) -> StreamingQuery:
         """Publish a streaming typed log of one table: rows checked, key changes split, keys and rows encoded."""
@@ -124,23 +128,21 @@ class Job:
         publisher = EventPublisher(f"{self.checkpoint}/relations", self.form, self.registry, self.topic_prefix, self.policy)
         write = batch_writer(self.sink, self.policy, self.max_row_bytes, self.known_topics)
 
+        after = F.col("lsn") > start_lsn
+
         def publish(batch: DataFrame, batch_id: int) -> None:
+            one_task = _one_task(batch)
             batch.persist()  # read once for its schema events and its rows
             try:
                 messages, dead = publisher.messages(batch, batch_id)
-                write(messages.filter(F.col("lsn") > start_lsn), batch_id)
+                write(messages.filter(after), batch_id, one_task and publisher.in_place)
                 if self.policy is ErrorPolicy.LOG:
                     for row in dead.groupBy("error").count().orderBy("error").limit(100).collect():
                         handle(ValueError(f"{row['error']} ({row['count']} rows)"), self.policy, "dead letters")
             finally:
                 batch.unpersist()
 
-        return (
-            events.writeStream.option("checkpointLocation", self.checkpoint)
-            .trigger(**(trigger or {"availableNow": True}))
-            .foreachBatch(publish)
-            .start()
-        )
+        return self._start(events, publish, trigger)
 
     # ------------------------------------------------------------ positions
 
@@ -166,6 +168,32 @@ class Job:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+CHECKPOINT_FILES = "spark.sql.streaming.checkpointFileManagerClass"
+
+
+@contextmanager
+def _plain_renames(spark: SparkSession, checkpoint: str) -> Iterator[None]:
+    """Let a query started here rename checkpoint files plainly if they are on a local disk.
+
+    Spark's other way looks for links first, with a process of its own for every look: some 40 ms a batch.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    local = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme() == "file"
+    if not local or spark.conf.get(CHECKPOINT_FILES, None) is not None:
+        yield
+        return
+    spark.conf.set(CHECKPOINT_FILES, "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager")
+    try:
+        yield  # the query has its own copy of the settings from its start on
+    finally:
+        spark.conf.unset(CHECKPOINT_FILES)
+
+
+def _one_task(batch: DataFrame) -> bool:
+    """Whether a micro-batch was read by one task, as small ones are: its order need not be made by a shuffle."""
+    return batch._jdf.queryExecution().toRdd().getNumPartitions() == 1
+
+
 def drain(start: Callable[[], StreamingQuery]) -> int:
     """Start a query again and again until its source has nothing more, and count the starts that read something.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.messages import deduplicate, in_order
-from ..policy import ErrorPolicy, apply_policy, handle, row_fault
+from ..policy import ErrorPolicy, apply_policy, handle, or_fail, row_fault
 
 
 class TopicSink(ABC):
@@ -17,6 +17,9 @@ class TopicSink(ABC):
     def write(self, messages: DataFrame, batch_id: int) -> None:
         """Make a batch durable. Returning is the acknowledgement of all its messages."""
 
+    def write_task(self, messages: DataFrame, batch_id: int) -> None:
+        """The same for messages that all lie in one task, as those of a small batch do."""
+        self.write(messages, batch_id)
 
     def discard(self, spark: SparkSession, topics: list[str], batch_id: int) -> None:
         """Take back what a batch has published of these topics, where the sink can."""
@@ -33,9 +36,14 @@ class FolderSink(TopicSink):
         self.path, self.by_key, self.options = path.rstrip("/"), by_key, options or {}
 
     def write(self, messages: DataFrame, batch_id: int) -> None:
-        if self.by_key:
-            messages = in_order(messages)
-        stamped = messages.withColumn("batch", F.lit(batch_id).cast("long"))
+        self._write(in_order(messages) if self.by_key else messages, batch_id)
+
+    def write_task(self, messages: DataFrame, batch_id: int) -> None:
+        self._write(in_order(messages, one_task=True) if self.by_key else messages, batch_id)
+
+    def _write(self, messages: DataFrame, batch_id: int) -> None:
+        # A text, as a number is a part of the generated code, which would be compiled again for every batch; it names a folder only.
+        stamped = messages.withColumn("batch", F.lit(str(batch_id)))
         (
             stamped.write.mode("overwrite")
             .options(**self.options)
@@ -93,16 +101,23 @@ def batch_writer(
     """A ``foreachBatch`` function that applies the error policy and writes.
 
     Faults are oversize values and, where ``known_topics`` is given, topics that do not
-    exist. Under ``log`` faulty rows go to the log by number and the batch goes on.
+    exist. Under ``log`` faulty rows go to the log by number and the batch goes on. ``one_task`` says
+    that the messages all lie in one task.
     """
-
-    def write(messages: DataFrame, batch_id: int) -> None:
-        fault = row_fault(F.col("value").cast("binary"), max_row_bytes)
-        if known_topics is not None:
-            missing = F.when(~F.col("topic").isin(*known_topics), F.concat(F.lit("unknown topic "), F.col("topic")))
-            fault = F.coalesce(missing, fault)
+    # Columns are made once, as each costs about as much as a small batch's rows.
+    fault = row_fault(F.col("value").cast("binary"), max_row_bytes)
+    if known_topics is not None:
+        missing = F.when(~F.col("topic").isin(*known_topics), F.concat(F.lit("unknown topic "), F.col("topic")))
+        fault = F.coalesce(missing, fault)
+    sound = or_fail(fault)
+
+    def write(messages: DataFrame, batch_id: int, one_task: bool = False) -> None:
+        put = sink.write_task if one_task else sink.write
+        if policy is ErrorPolicy.EXIT:
+            put(messages.filter(sound), batch_id)
+            return
         fine, bad = apply_policy(messages, fault, policy)
-        sink.write(fine, batch_id)
+        put(fine, batch_id)
         if policy is ErrorPolicy.LOG:
             for row in bad.groupBy("topic", "error").count().orderBy("topic", "error").limit(100).collect():
                 handle(ValueError(f"{row['error']} ({row['count']} rows)"), policy, row["topic"])
