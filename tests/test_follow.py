@@ -153,3 +153,21 @@ def test_json_arrays_escape_what_a_string_needs():
     for text in ("a\nb", 'q"', "\\", "\x00", "\x1f", "é\x7f", "", "plain"):
         want = [json.dumps(text, ensure_ascii=False), '"p"', None]
         assert _plain_texts("string", pa.array([text, "p", None])).to_pylist() == want
+
+
+def test_a_log_is_made_once_to_be_written(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def stage(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    log = spark.range(1000).selectExpr("id AS lsn", "id div 10 AS xid").mapInArrow(stage, "lsn long, xid long")
+    changelog.write_log(log, str(tmp_path / "log"))
+    assert made.value == 1000 and not log.storageLevel.useDisk
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 1000
+    log.persist()
+    changelog.write_log(log, str(tmp_path / "again"))
+    assert log.storageLevel.useMemory
+    log.unpersist()

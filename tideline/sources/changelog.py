@@ -29,6 +29,7 @@ from typing import Any
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
@@ -258,9 +259,19 @@ class ChangeLogSource(DataSource):
 
 
 def write_log(log: DataFrame, path: str, group_bytes: int = GROUP_BYTES) -> None:
-    """Write a log in its order and in small row groups, so that a micro-batch reads little besides its own rows."""
-    ordered = log.repartitionByRange("lsn").sortWithinPartitions("lsn")
-    ordered.write.option("parquet.block.size", group_bytes).parquet(path)
+    """Write a log in its order and in small row groups, so that a micro-batch reads little besides its own rows.
+
+    The log is kept on disk meanwhile: the ranges are sampled from it, and it would be made once more for that.
+    """
+    own = log.storageLevel == StorageLevel.NONE
+    if own:
+        log.persist(StorageLevel.DISK_ONLY)
+    try:
+        ordered = log.repartitionByRange("lsn").sortWithinPartitions("lsn")
+        ordered.write.option("parquet.block.size", group_bytes).parquet(path)
+    finally:
+        if own:
+            log.unpersist()
 
 
 def register(spark: Any) -> None:
